@@ -3,7 +3,9 @@
 from __future__ import annotations
 
 import atexit
+import sys
 import tempfile
+import types
 import uuid
 from collections.abc import Iterator
 
@@ -80,5 +82,9 @@ def slices(batches: Iterator[pa.RecordBatch], rows: int = SLICE_ROWS) -> Iterato
             yield batch.slice(at, rows)
 
 
-def null_safe_text(col: str = "text") -> Column:
-    return F.coalesce(F.col(col), F.lit(""))
+def worker_wide(name: str, make):
+    """What ``make`` returns, made once in a Python worker and kept for the tasks that it runs later."""
+    held = sys.modules.setdefault("_loamgrid_worker", types.ModuleType("_loamgrid_worker")).__dict__
+    if name not in held:
+        held[name] = make()
+    return held[name]

@@ -138,3 +138,18 @@ def judge_documents(docs: DataFrame, rules: LineRules = LineRules()) -> DataFram
             yield pa.RecordBatch.from_arrays(columns, names=[x.split()[0] for x in schema.split(", ")])
 
     return docs.select(F.col("doc_id").cast("bigint"), F.col("text").cast("string")).mapInArrow(run, schema)
+
+
+def clean_rows(docs: DataFrame, rules: LineRules = LineRules()) -> DataFrame:
+    """The rows of ``docs`` that the rules keep, all columns in order, with ``text`` less the lines that failed."""
+    at = docs.columns.index("text")
+
+    def run(batches):
+        for batch in slices(batches):
+            judged = [judge(text, rules) for text in batch.column(at).to_pylist()]
+            kept = [numbers[6] for numbers, _ in judged]
+            columns = list(batch.columns)
+            columns[at] = pa.array([text for _, text in judged], pa.string())
+            yield pa.RecordBatch.from_arrays(columns, names=batch.schema.names).filter(pa.array(kept, pa.bool_()))
+
+    return docs.mapInArrow(run, docs.schema)
