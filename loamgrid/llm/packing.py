@@ -11,49 +11,150 @@ depends on ``max_len`` only, and the packing is global however many documents th
 from __future__ import annotations
 
 import bisect
+import json
+import re
+import unicodedata
 import zlib
 from dataclasses import dataclass, field
+from itertools import chain
 
 import numpy as np
 import pyarrow as pa
 from pyspark.sql import DataFrame
 from pyspark.sql import functions as F
 
-from loamgrid.llm.common import materialise, running_before, slices
+from loamgrid.llm.common import materialise, running_before, slices, worker_wide
 
 TOKENIZER = "word_bpe_49k.json"
-#: Words whose ids a task keeps, and the longest such word in characters.
-CACHE_WORDS, CACHE_CHARS = 400_000, 48
+#: Words whose ids a worker keeps in each of two generations; parts of more bytes are left to the tokenizers library.
+CACHE_WORDS, PART_BYTES = 400_000, 64
+#: Rows that are tokenised at a time.
+TOKEN_ROWS = 1024
 
 
-class WordIds(dict):
-    """Little-endian unsigned 32-bit ids of a word; words are independent since the tokenizer drops white space."""
+class TextIds:
+    """Little-endian unsigned 32-bit ids of texts, as the tokenizers library gives them with any vocabulary file."""
 
-    def __init__(self, name: str) -> None:
+    def __init__(self, spec: dict) -> None:
         from tokenizers import Tokenizer
 
-        if "/" not in name:
-            import public_tokenizers
-
-            name = public_tokenizers.path(name)
-        self.tokenizer = Tokenizer.from_file(name)
+        self.spec = spec
+        self.tokenizer = Tokenizer.from_str(json.dumps(spec))
 
     def encode(self, text: str) -> bytes:
         return np.array(self.tokenizer.encode(text, add_special_tokens=False).ids, dtype="<u4").tobytes()
 
-    def __missing__(self, word: str) -> bytes:
-        ids = self.encode(word)
-        if len(word) <= CACHE_CHARS:
-            if len(self) >= CACHE_WORDS:
-                self.clear()
-            self[word] = ids
-        return ids
+    def of(self, texts: list[str]) -> list[bytes]:
+        return [self.encode(text) for text in texts]
+
+
+class WordIds(TextIds):
+    """The same for byte-pair vocabularies over lower-case words with word ends, many words at a time.
+
+    Words that a batch brings anew are merged together in arrays: all words of one length have their lowest-ranked,
+    leftmost pair merged in each round, which is what the library does word by word. Texts with special tokens, with
+    characters that Python and the library treat differently, and very long words go to the library.
+    """
 
-    def of(self, text: str) -> bytes:
-        """Ids of a whole text. str.split also cuts at 0x1C-0x1F, which are no white space to the tokenizer."""
-        if any(map(text.__contains__, "\x1c\x1d\x1e\x1f")):
-            return self.encode(text)
-        return b"".join(map(self.__getitem__, text.split()))
+    NORMALIZERS = ["NFC", "Replace", "Lowercase"]
+    ODD = re.compile("[\x1c-\x1f\u03a3]|<\\|(?:start|end)oftext\\|>")
+
+    @classmethod
+    def fits(cls, spec: dict) -> bool:
+        steps = [x.get("type") for x in (spec.get("normalizer") or {}).get("normalizers", [])]
+        split = [x.get("type") for x in (spec.get("pre_tokenizer") or {}).get("pretokenizers", [])]
+        special = {x["content"] for x in spec.get("added_tokens", [])} <= {"<|startoftext|>", "<|endoftext|>"}
+        ends = spec["model"].get("end_of_word_suffix") == "</w>" and not spec["model"].get("ignore_merges")
+        return steps == cls.NORMALIZERS and split == ["Split", "ByteLevel"] and special and ends
+
+    def __init__(self, spec: dict) -> None:
+        import regex
+
+        super().__init__(spec)
+        vocab, merges = self.spec["model"]["vocab"], self.spec["model"]["merges"]
+        self.parts = regex.compile(self.spec["pre_tokenizer"]["pretokenizers"][0]["pattern"]["Regex"]).findall
+        printed = [*range(33, 127), *range(161, 173), *range(174, 256)]
+        sign = {b: chr(b) for b in printed} | {b: chr(256 + k) for k, b in enumerate(sorted(set(range(256)) - set(printed)))}
+        self.inner = np.array([vocab[sign[b]] for b in range(256)], np.int64)
+        self.last = np.array([vocab[sign[b] + "</w>"] for b in range(256)], np.int64)
+        pairs = [m.split(" ") if isinstance(m, str) else m for m in merges]
+        keys = np.array([vocab[a] << 32 | vocab[b] for a, b in pairs], np.int64)
+        order = np.argsort(keys, kind="stable")
+        self.keys, self.ranks = keys[order], order
+        self.merged = np.array([vocab[a + b] for a, b in pairs], np.int64)
+        self.none = len(pairs)
+        self.cache: dict[str, bytes] = {}
+        self.older: dict[str, bytes] = {}
+
+    def rank(self, left: np.ndarray, right: np.ndarray) -> np.ndarray:
+        key = left << 32 | right
+        at = np.minimum(np.searchsorted(self.keys, key), len(self.keys) - 1)
+        return np.where(self.keys[at] == key, self.ranks[at], self.none)
+
+    def merge(self, parts: list[str]) -> dict[str, bytes]:
+        """The ids of normalised parts of words."""
+        out: dict[str, bytes] = {}
+        by_length: dict[int, list[tuple[str, bytes]]] = {}
+        for word in parts:
+            raw = word.encode("utf-8")
+            if len(raw) <= PART_BYTES:
+                by_length.setdefault(len(raw), []).append((word, raw))
+            else:
+                out[word] = self.encode(word)
+        for n, own in by_length.items():
+            raw = np.frombuffer(b"".join(b for _, b in own), np.uint8).reshape(-1, n)
+            ids = self.inner[raw]
+            ids[:, -1] = self.last[raw[:, -1]]
+            names = np.arange(len(own))
+            ranks = self.rank(ids[:, :-1], ids[:, 1:])
+            while len(names):
+                low = ranks.min(axis=1) if ranks.shape[1] else np.full(len(names), self.none)
+                done = low == self.none
+                if done.any():
+                    ready, width = ids[done].astype("<u4").tobytes(), 4 * ids.shape[1]
+                    for k, name in enumerate(names[done].tolist()):
+                        out[own[name][0]] = ready[k * width : (k + 1) * width]
+                    ids, ranks, names, low = ids[~done], ranks[~done], names[~done], low[~done]
+                if not len(names):
+                    break
+                rows, at = np.arange(len(names)), ranks.argmin(axis=1)
+                keep = np.ones(ids.shape, bool)
+                keep[rows, at + 1] = False
+                ids[rows, at] = self.merged[low]
+                ids = ids[keep].reshape(len(rows), -1)
+                ranks = ranks[keep[:, 1:]].reshape(len(rows), -1)
+                for side in (at - 1, at):
+                    some = (side >= 0) & (side < ranks.shape[1])
+                    r, c = rows[some], side[some]
+                    ranks[r, c] = self.rank(ids[r, c], ids[r, c + 1])
+        return out
+
+    def learn(self, words: list[str]) -> None:
+        """Put the ids of new words into the cache."""
+        cut = [self.parts((w if w.isascii() else unicodedata.normalize("NFC", w)).lower()) for w in words]
+        ids = self.merge(list(set(chain.from_iterable(cut))))
+        self.cache.update((w, b"".join([ids[p] for p in own])) for w, own in zip(words, cut))
+
+    def of(self, texts: list[str]) -> list[bytes]:
+        if len(self.cache) > CACHE_WORDS:
+            self.cache, self.older = {}, self.cache
+        cut = [None if self.ODD.search(t) else t.split() for t in texts]
+        new = [w for w in set(chain.from_iterable(filter(None, cut))) if w not in self.cache]
+        self.cache.update((w, self.older[w]) for w in new if w in self.older)
+        self.learn([w for w in new if w not in self.cache])
+        ids = self.cache.__getitem__
+        return [self.encode(t) if own is None else b"".join(map(ids, own)) for t, own in zip(texts, cut)]
+
+
+def text_ids(name: str) -> TextIds:
+    """For a public vocabulary's name or a path; the fast form where the file allows it."""
+    if "/" not in name:
+        import public_tokenizers
+
+        name = public_tokenizers.path(name)
+    with open(name, encoding="utf-8") as file:
+        spec = json.load(file)
+    return WordIds(spec) if WordIds.fits(spec) else TextIds(spec)
 
 
 def token_pieces(docs: DataFrame, tokenizer: str, max_len: int, with_ids: bool = False) -> DataFrame:
@@ -64,11 +165,11 @@ def token_pieces(docs: DataFrame, tokenizer: str, max_len: int, with_ids: bool =
         schema, kinds = schema + ", ids array<bigint>", [*kinds, pa.list_(pa.int64())]
 
     def run(batches):
-        words = WordIds(tokenizer)
-        for batch in slices(batches):
-            rows = []
-            for key, text in zip(batch.column(0).to_pylist(), batch.column(1).to_pylist()):
-                ids = words.of(text or "") + b"\0\0\0\0"
+        words = worker_wide(f"text_ids {tokenizer}", lambda: text_ids(tokenizer))
+        for batch in slices(batches, TOKEN_ROWS):
+            rows, texts = [], [text or "" for text in batch.column(1).to_pylist()]
+            for key, ids in zip(batch.column(0).to_pylist(), words.of(texts)):
+                ids += b"\0\0\0\0"
                 for k, at in enumerate(range(0, len(ids), 4 * max_len)):
                     part = ids[at : at + 4 * max_len]
                     row = [key, k, at // 4, len(part) // 4, zlib.crc32(part)]
