@@ -17,15 +17,13 @@ def to_text(value: Column) -> Column:
 
 def to_number(value: Column) -> Column:
     """A finite double, or null. Decimal and exponent forms; 0x, 0o and 0b integers, without a sign."""
-    text = to_text(value)
-    based = F.lit(None).cast("double")
-    for mark, base in (("x", 16), ("o", 8), ("b", 2)):
-        digits = {16: "[0-9a-f]", 8: "[0-7]", 2: "[01]"}[base]
+    text = F.regexp_replace(value.cast("string"), _TRIM, "")
+    number = text.try_cast("double")
+    found = F.when(text.rlike(_NUMBER) & (F.abs(number) < float("inf")), number)
+    for mark, base, digits in (("x", 16, "[0-9a-f]"), ("o", 8, "[0-7]"), ("b", 2, "[01]")):
         hit = text.rlike(f"(?i)^0{mark}{digits}{{1,15}}$")
-        based = F.when(hit, F.conv(F.substring(text, 3, 15), base, 10).cast("double")).otherwise(based)
-    number = F.when(text.rlike(_NUMBER), text.try_cast("double"))
-    found = F.coalesce(number, based)
-    return F.when(F.abs(found) < float("inf"), found)
+        found = F.coalesce(found, F.when(hit, F.conv(F.substring(text, 3, 15), base, 10).cast("double")))
+    return found
 
 
 def to_integer(value: Column) -> Column:
