@@ -8,6 +8,7 @@ import pandas as pd
 from pyspark.sql import Column
 from pyspark.sql import functions as F
 from pyspark.sql.functions import pandas_udf
+from pyspark.sql.types import DoubleType, StringType
 
 from loamgrid.functions.coerce import to_text
 
@@ -30,13 +31,13 @@ NOT_A_NAME = (
 )
 
 
-@pandas_udf("string")
+@pandas_udf(StringType())
 def nfkc(values: pd.Series) -> pd.Series:
     """Unicode compatibility composition, for which Spark has no expression."""
     return values.map(lambda v: unicodedata.normalize("NFKC", v), na_action="ignore")
 
 
-@pandas_udf("string")
+@pandas_udf(StringType())
 def without_accents(values: pd.Series) -> pd.Series:
     """Compatibility decomposition less its diacritics."""
 
@@ -194,6 +195,6 @@ def jaro_winkler_of(left: str, right: str) -> float:
     return jaro + prefix * 0.1 * (1 - jaro)
 
 
-@pandas_udf("double")
+@pandas_udf(DoubleType())
 def jaro_winkler(left: pd.Series, right: pd.Series) -> pd.Series:
     return pd.Series([jaro_winkler_of(a or "", b or "") for a, b in zip(left, right)], dtype="float64")
