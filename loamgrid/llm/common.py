@@ -45,18 +45,19 @@ def materialise(df: DataFrame, name: str, with_pid: bool = False) -> DataFrame:
     path = f"{scratch_root(spark)}/loamgrid/{name}-{uuid.uuid4().hex}"
     out = df.withColumn("pid", F.spark_partition_id()) if with_pid else df
     out.write.option("compression", "zstd").parquet(path)
-    return spark.read.schema(out.schema).parquet(path)
-
-
-def discard(df: DataFrame) -> None:
-    """Delete a table made by ``materialise`` that nothing reads any more."""
-    spark = df.sparkSession
-    root = f"{scratch_root(spark)}/loamgrid/"
-    jvm, conf = spark._jvm, spark._jsc.hadoopConfiguration()
-    for folder in {f.rsplit("/", 1)[0] for f in df.inputFiles()}:
-        if root.split("://")[-1].lstrip("/") in folder:
-            path = jvm.org.apache.hadoop.fs.Path(folder)
-            path.getFileSystem(conf).delete(path, True)
+    held = spark.read.schema(out.schema).parquet(path)
+    held._scratch_path = path
+    return held
+
+
+def discard(*tables: DataFrame) -> None:
+    """Delete tables made by ``materialise`` that nothing reads any more, such as those of a loop's last round."""
+    for df in tables:
+        path = getattr(df, "_scratch_path", None)
+        if path is not None:
+            spark = df.sparkSession
+            where = spark._jvm.org.apache.hadoop.fs.Path(path)
+            where.getFileSystem(spark._jsc.hadoopConfiguration()).delete(where, True)
 
 
 def running_before(df: DataFrame, keys: list[str], order: list[Column], value: Column, name: str) -> DataFrame:

@@ -15,11 +15,13 @@ from pyspark.sql import functions as F
 from loamgrid.llm.common import materialise, slices
 
 WINDOW = 3
+#: White space within a line; other characters count as words.
+BLANKS = " \t\x0b\x0c\r"
 
 
 def worded_lines(text: str) -> list[tuple[int, str]]:
-    """(number, line without surrounding blanks) of the lines that have more than white space."""
-    return [(i, s) for i, line in enumerate(text.split("\n")) if (s := line.strip())]
+    """(number, line without surrounding blanks) of the lines that have more than blanks."""
+    return [(i, s) for i, line in enumerate(text.split("\n")) if (s := line.strip(BLANKS))]
 
 
 def window_hashes(text: str, width: int = WINDOW) -> list[bytes]:
@@ -43,7 +45,7 @@ def without_windows(text: str, starts: list[int], width: int = WINDOW) -> tuple[
         if i in worded:
             drop = i in covered
             gone += drop
-            words += len(line.split()) if drop else 0
+            words += len(line.encode("utf-8", "surrogatepass").split()) if drop else 0
         if not drop:
             keep.append(line)
     return "\n".join(keep), gone, words
@@ -105,7 +107,7 @@ def dedupe_lines(docs: DataFrame, width: int = WINDOW) -> DataFrame:
                 texts.append(cleaned)
                 lines.append(n)
                 words.append(w)
-                before.append(len((text or "").split()))
+                before.append(len((text or "").encode("utf-8", "surrogatepass").split()))
             columns = list(batch.columns[:-1])
             columns[at] = pa.array(texts, pa.string())
             columns += [pa.array(x, pa.int64()) for x in (lines, words, before)]

@@ -212,13 +212,10 @@ def store_media(docs: DataFrame, cuts: Cuts = Cuts()) -> MediaStore:
     """
     refs = materialise(chunk_documents(docs, cuts, with_frames=False), "media-refs")
     several = F.col("n_chunks") > 1
-    owners = refs.groupBy("digest").agg(
-        F.min("place").alias("owner"), F.max(several).alias("listed"), F.max(~several).alias("whole")
-    )
-    owners = materialise(owners.filter("listed and whole").select("digest", F.lit(True).alias("both")), "media-both"), materialise(
-        refs.filter("offer").groupBy("digest").agg(F.min("place").alias("owner"), F.count(F.lit(1)).alias("n")).filter("n > 1"), "media-owners"
-    )
-    both, repeated = owners
+    used = refs.groupBy("digest").agg(F.max(several).alias("listed"), F.max(~several).alias("whole"))
+    both = materialise(used.filter("listed and whole").select("digest"), "media-both")
+    offered = refs.filter("offer").groupBy("digest").agg(F.min("place").alias("owner"), F.count(F.lit(1)).alias("n"))
+    repeated = materialise(offered.filter("n > 1"), "media-repeated")
     offers = refs.filter("offer").select("digest", "place", several.alias("part"))
     losers = offers.join(repeated, "digest").filter("place <> owner").select("place", F.lit(True).alias("drop"))
     mixed = offers.join(both, "digest").select("place", F.lit(False).alias("drop"))

@@ -37,14 +37,19 @@ class LineRules:
 
 
 SYMBOLS = "#*$%&|<>"
-_FINAL = (".", "!", "?", "…", ":", ";", '"', "'", ")", "”", "’", "»", "。", "！", "？")
-_SEPARATOR = re.compile(r"(?:^|\s)(?:\||»|›|•|·|>|::|/)(?=\s|$)")
-_BOILERPLATE = re.compile(
+FINAL = (".", "!", "?", "…", ":", ";", '"', "'", ")", "”", "’", "»", "。", "！", "？")
+SEPARATORS = ("|", "»", "›", "•", "·", ">", "::", "/")
+MARK_RUNS = ("!!", "??", "!?", "?!")
+BOILERPLATE = (
     r"\b(?:lorem ipsum|cookie policy|privacy policy|terms of (?:use|service)|all rights reserved|enable javascript|"
     r"javascript is (?:disabled|required)|click here|read more|sign (?:in|up)|log ?in|subscribe to our|"
-    r"skip to (?:main )?content|back to top|share (?:this|on)|follow us|powered by|page \d+ of \d+)\b",
-    re.IGNORECASE,
+    r"skip to (?:main )?content|back to top|share (?:this|on)|follow us|powered by|page [0-9]+ of [0-9]+)\b"
 )
+#: A line with such a phrase is boilerplate if it has at most so many words.
+BOILERPLATE_WORDS = 25
+_BOILERPLATE = re.compile(BOILERPLATE, re.IGNORECASE | re.ASCII)
+_SEPARATORS = frozenset(s.encode() for s in SEPARATORS)
+_MARK_RUNS = frozenset(s.encode() for s in MARK_RUNS)
 
 SCHEMA = (
     "doc_id bigint, n_words bigint, word_chars bigint, n_symbols bigint, n_dup_lines bigint, n_repeat_words bigint, "
@@ -71,13 +76,13 @@ def line_verdict(line: str, words: list[bytes], rules: LineRules) -> str:
     n = len(words)
     if sum(map(line.count, SYMBOLS)) > rules.max_symbol_share * n:
         return "punctuation"
-    if sum(w[-2:] in (b"!!", b"??", b"!?", b"?!") for w in words) > rules.max_mark_run_share * n:
+    if sum(w[-2:] in _MARK_RUNS for w in words) > rules.max_mark_run_share * n:
         return "punctuation"
-    if n <= rules.nav_words and not line.rstrip().endswith(_FINAL):
+    if n <= rules.nav_words and not line.rstrip(" \t\x0b\x0c\r").endswith(FINAL):
         return "navigation"
-    if len(_SEPARATOR.findall(line)) >= rules.nav_separators:
+    if sum(map(_SEPARATORS.__contains__, words)) >= rules.nav_separators:
         return "navigation"
-    if _BOILERPLATE.search(line) and n <= 25:
+    if n <= BOILERPLATE_WORDS and _BOILERPLATE.search(line):
         return "boilerplate"
     if n >= 10 and max(Counter(words).values()) > rules.max_word_share * n:
         return "boilerplate"

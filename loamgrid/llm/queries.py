@@ -15,6 +15,7 @@ from loamgrid.llm.quality_rules import judge_documents
 from loamgrid.llm.resampling import resample_documents
 from loamgrid.llm.sharding import shard_documents
 from loamgrid.llm.simhash import near_duplicates
+from loamgrid.llm.sql import LINE_DEDUP_SQL, license_scan_sql, quality_rules_sql
 from loamgrid.llm.url_filter import filter_urls
 
 
@@ -91,4 +92,10 @@ QUERIES = {
     )
 }
 
-ORACLE_SQL: dict[str, str] = {}
+#: Packing, fingerprints, sharding, chunks, apportionment, sampling and link scores have no SQL form: tests hold them
+#: against brute force.
+ORACLE_SQL = {
+    "op4_line_window_dedup": LINE_DEDUP_SQL,
+    "op5_line_first_cleaning": quality_rules_sql(),
+    "op6_license_sentence_rules": license_scan_sql(),
+}

@@ -17,7 +17,7 @@ import xxhash
 from pyspark.sql import Column, DataFrame
 from pyspark.sql import functions as F
 
-from loamgrid.llm.common import materialise, slices
+from loamgrid.llm.common import discard, materialise, slices
 
 SEED = 42
 SHINGLE = 3
@@ -188,11 +188,13 @@ def components(links: DataFrame) -> DataFrame:
         both = edges.unionByName(edges.select(F.col("b").alias("a"), F.col("a").alias("b")))
         low = materialise(both.groupBy("a").agg(F.least(F.min("b"), F.first("a")).alias("m")), "links-low")
         large = both.join(low, "a").filter("b > a and b <> m").select(F.col("b").alias("a"), F.col("m").alias("b"))
-        edges = materialise(large.distinct(), "links-large")
-        down = edges.select(F.greatest("a", "b").alias("a"), F.least("a", "b").alias("b"))
+        starred = materialise(large.distinct(), "links-large")
+        discard(edges, low)
+        down = starred.select(F.greatest("a", "b").alias("a"), F.least("a", "b").alias("b"))
         low = materialise(down.groupBy("a").agg(F.min("b").alias("m")), "links-low")
         small = down.join(low, "a").filter("b <> m").select(F.col("b").alias("a"), F.col("m").alias("b"))
         edges = materialise(small.unionByName(low.select("a", F.col("m").alias("b"))).distinct(), "links-small")
+        discard(starred, low)
         ends = edges.select(
             F.inline(
                 F.array(

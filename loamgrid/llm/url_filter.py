@@ -12,7 +12,7 @@ from dataclasses import dataclass
 from pyspark.sql import Column, DataFrame
 from pyspark.sql import functions as F
 
-from loamgrid.llm.common import materialise
+from loamgrid.llm.common import discard, materialise
 
 
 @dataclass(frozen=True)
@@ -94,6 +94,8 @@ def propagate(edges: DataFrame, seeds: DataFrame, damping: float, rounds: int, t
             F.abs(F.col("trust") - F.coalesce("t", F.lit(0.0))), F.abs(F.col("distrust") - F.coalesce("d", F.lit(0.0)))
         )
         change = after.join(before, "host", "left").agg(F.max(gap)).first()[0]
+        if scores is not seeds:
+            discard(scores)
         scores = after
         if change is None or change <= tolerance:
             break

@@ -65,15 +65,15 @@ def dedupe_lines(rows, width=3):
     windows, first, out = {}, {}, {}
     for key, text in sorted(rows):
         lines = (text or "").split("\n")
-        at = [i for i, line in enumerate(lines) if line.strip()]
-        windows[key] = [(tuple(lines[k].strip() for k in at[j : j + width]), at[j : j + width]) for j in range(len(at) - width + 1)]
+        at = [i for i, line in enumerate(lines) if words(line)]
+        windows[key] = [(tuple(lines[k].strip(" \t\x0b\x0c\r") for k in at[j : j + width]), at[j : j + width]) for j in range(len(at) - width + 1)]
         for j, (w, _) in enumerate(windows[key]):
             first.setdefault(w, (key, j))
     for key, text in rows:
         gone = {i for j, (w, at) in enumerate(windows[key]) if first[w] != (key, j) for i in at}
         keep, drop = [], False
         for i, line in enumerate((text or "").split("\n")):
-            drop = i in gone if line.strip() else drop
+            drop = i in gone if words(line) else drop
             if not drop:
                 keep.append(line)
         out[key] = "\n".join(keep) if text is not None else None
