@@ -279,3 +279,84 @@ def derived_current(history: DataFrame, touched: DataFrame, key: str, value: str
     """The current value of the touched keys, from their whole history."""
     own = history.join(touched.select(key).distinct(), key, "left_semi")
     return own.groupBy(key).agg(F.max_by(value, F.struct(*at)).alias(value))
+
+
+def phone_confidence(verified: Column, recency: Column, source: Column, contact: Column) -> Column:
+    """Fixed weights of four signals in [0, 1]."""
+    return 0.35 * verified + 0.30 * recency + 0.20 * source + 0.15 * contact
+
+
+def window_progress(windows: DataFrame, span: str, terminal: str) -> DataFrame:
+    """(span, windows, terminal, split): how far a tree of harvest windows has come, by the width of its nodes."""
+    done = F.count_if(F.col(terminal))
+    return windows.groupBy(span).agg(F.count(F.lit(1)).alias("windows"), done.alias("terminal"), (F.count(F.lit(1)) - done).alias("split"))
+
+
+def throughput(events: DataFrame, at: str, remaining: float, size: str = "60 seconds", slide: str = "30 seconds") -> DataFrame:
+    """(start, n, eta_seconds): rate over sliding windows and the time that the remaining rows would take at it."""
+    counts = events.groupBy(F.window(at, size, slide)).agg(F.count(F.lit(1)).alias("n"))
+    seconds = F.unix_timestamp("window.end") - F.unix_timestamp("window.start")
+    return counts.select(F.col("window.start").alias("start"), "n", (F.lit(float(remaining)) * seconds / F.col("n")).alias("eta_seconds"))
+
+
+def retrieve(docs: DataFrame, query: str, id_: str, text: str, where: Column, threshold: float, most: int) -> DataFrame:
+    """(id, score, band): filter first, exact match, then token overlap, combined, cut at the threshold, best first."""
+    words = sorted({w for w in query.lower().split() if w})
+    own = F.array_distinct(F.split(F.lower(F.col(text)), r"[^\p{Alnum}]+"))
+    overlap = F.size(F.array_intersect(own, F.array(*map(F.lit, words)))) / F.lit(float(len(words)))
+    exact = (F.lower(F.trim(text)) == query.lower()).cast("double")
+    scored = docs.filter(where).select(id_, F.round(F.greatest(exact, 0.9 * overlap), 6).alias("score"))
+    band = F.when(F.col("score") >= 0.9, "accept").when(F.col("score") >= 0.7, "review").otherwise("reject")
+    return scored.filter(F.col("score") >= threshold).orderBy(F.desc("score"), id_).limit(most).withColumn("band", band)
+
+
+PROFILE_SCHEMA = "page_id bigint, kind string, name string, telephone string, rating double, reviews bigint, accredited boolean, website string"
+
+
+def profiles_from_pages(pages: DataFrame) -> DataFrame:
+    """Business profiles of pages (page_id, html): JSON-LD trees flattened by type, ratings, and the first outside link.
+
+    ``accredited`` is true or false only where the page says so. A page without any business gives no row.
+    """
+    import pandas as pd
+
+    def nodes(tree):
+        if isinstance(tree, list):
+            for item in tree:
+                yield from nodes(item)
+        elif isinstance(tree, dict):
+            yield tree
+            for value in tree.values():
+                yield from nodes(value)
+
+    def profile(key: int, html: str):
+        import json
+        import re
+
+        found = []
+        for block in re.findall(r"<script[^>]*application/ld\+json[^>]*>(.*?)</script>", html, re.S | re.I):
+            try:
+                found += nodes(json.loads(block))
+            except ValueError:
+                continue
+        business = next((n for n in found if "Business" in str(n.get("@type", "")) or n.get("@type") == "Organization"), None)
+        if business is None:
+            return None
+        score = next((n for n in found if n.get("@type") == "AggregateRating"), {})
+        number = lambda v: float(v) if re.fullmatch(r"\d+(\.\d+)?", str(v)) else None
+        said = re.search(r"\b(not\s+)?accredited\b", re.sub(r"<[^>]*>", " ", html), re.I)
+        links = re.findall(r"href=[\"'](https?://[^\"']+)", html)
+        social = r"facebook|twitter|linkedin|instagram|youtube|x\.com"
+        site = next((u for u in links if not re.search(social, u, re.I)), None)
+        rating, reviews = number(score.get("ratingValue")), number(score.get("reviewCount"))
+        accredited = None if said is None else said[1] is None
+        kind = business["@type"] if isinstance(business["@type"], str) else "/".join(business["@type"])
+        return key, kind, business.get("name"), business.get("telephone"), rating, reviews and int(reviews), accredited, site
+
+    def run(batches):
+        for pdf in batches:
+            rows = [profile(k, h or "") for k, h in zip(pdf["page_id"], pdf["html"])]
+            out = pd.DataFrame([r for r in rows if r], columns=[c.split()[0] for c in PROFILE_SCHEMA.split(", ")])
+            yield out.astype({"reviews": "Int64", "accredited": "boolean"})
+
+    return pages.select("page_id", "html").mapInPandas(run, PROFILE_SCHEMA)

@@ -212,3 +212,39 @@ def candidate_scores(t):
     sums = t.orders.groupBy(F.col("o_custkey").alias("c_custkey")).agg(F.count_if(F.col("o_orderpriority").isin("1-URGENT", "2-HIGH")).alias("phone_score"))
     out = t.customer.select("c_custkey").join(sums, "c_custkey", "left").fillna(0, ["phone_score"])
     return out.withColumn("good", F.col("phone_score") > 3)
+
+
+@query(
+    "SELECT user_id, round(0.35 * (max(value) / 1000) + 0.30 * (count(*) FILTER (event_type = 'click') / count(*)) + 0.20 * 0.5 + 0.15 * (user_id % 2), 4) AS score FROM events GROUP BY 1"
+)
+def phone_confidence_score(t):
+    clicks = F.count_if(F.col("event_type") == "click") / F.count(F.lit(1))
+    sums = t.events.groupBy("user_id").agg((F.max("value") / 1000).alias("v"), clicks.alias("r"))
+    score = R.phone_confidence(F.col("v"), F.col("r"), F.lit(0.5), (F.col("user_id") % 2).cast("double"))
+    return sums.select("user_id", F.round(score, 4).alias("score"))
+
+
+@query(
+    "SELECT n AS span, count(*) AS windows, count(*) FILTER (n < 6) AS terminal, count(*) FILTER (n >= 6) AS split FROM (SELECT l_orderkey, count(*) AS n FROM lineitem GROUP BY 1) GROUP BY 1"
+)
+def window_tree_progress(t):
+    windows = t.lineitem.groupBy("l_orderkey").agg(F.count(F.lit(1)).alias("span"))
+    return R.window_progress(windows.withColumn("done", F.col("span") < 6), "span", "done")
+
+
+@query(
+    "SELECT count(*) AS windows, CAST(sum(n) AS BIGINT) AS events FROM (SELECT b, count(*) AS n FROM (SELECT unnest([epoch_us(ts) // 21600000000, epoch_us(ts) // 21600000000 - 1]) AS b FROM events) GROUP BY 1)"
+)
+def sliding_throughput(t):
+    """Half-day windows every six hours: each event counts in two."""
+    stamped = t.events.select(F.col("ts").cast("timestamp_ntz").cast("timestamp").alias("ts"))
+    rates = R.throughput(stamped, "ts", 1000.0, "12 hours", "6 hours")
+    return rates.agg(F.count(F.lit(1)).alias("windows"), F.sum("n").alias("events"))
+
+
+@query(
+    "SELECT doc_id, round(0.9 * o / 2, 6) AS score, 'accept' AS band FROM (SELECT doc_id, len(list_intersect(list_distinct(regexp_split_to_array(lower(text), '[^\\pL\\pN]+')), ['mit', 'license'])) AS o "
+    "FROM documents WHERE lang = 'en') WHERE round(0.9 * o / 2, 6) >= 0.9 ORDER BY doc_id LIMIT 20"
+)
+def retrieval_pipeline(t):
+    return R.retrieve(t.documents, "mit license", "doc_id", "text", F.col("lang") == "en", 0.9, 20)

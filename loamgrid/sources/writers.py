@@ -5,6 +5,8 @@ from __future__ import annotations
 from pyspark.sql import DataFrame, SparkSession
 from pyspark.sql import functions as F
 
+from loamgrid.operators.numbering import materialise, running_before
+
 
 def sink_parquet(df: DataFrame, path: str, partition_by: list[str] | None = None) -> int:
     """Write and return the number of rows, read back from the footers."""
@@ -44,16 +46,8 @@ def json_shards(df: DataFrame, key: str, per_shard: int = 10_000) -> DataFrame:
 
     Ranks come from a range partitioning and counts per partition, not from one sorted task.
     """
-    parts = df.withColumn("_doc", F.to_json(F.struct(*df.columns))).select(key, "_doc").repartitionByRange(F.col(key))
-    numbered = parts.withColumn("_p", F.spark_partition_id())
-    sizes = numbered.groupBy("_p").count().collect()
-    before, total = {}, 0
-    for r in sorted(sizes):
-        before[r["_p"]] = total
-        total += r["count"]
-    base = F.create_map(*[F.lit(x) for kv in before.items() for x in kv]) if before else F.create_map()
-    from pyspark.sql import Window
-
-    place = F.row_number().over(Window.partitionBy("_p").orderBy(key)) - 1 + F.element_at(base, F.col("_p"))
-    shard = F.floor(place / per_shard).cast("int")
-    return numbered.select(key, shard.alias("shard"), F.col("_doc").alias("document"), F.sha2("_doc", 256).alias("content_id"))
+    docs = df.select(key, F.to_json(F.struct(*df.columns)).alias("document"), F.lit(0).alias("_all"))
+    held = materialise(docs.repartitionByRange(F.col(key)), "json-shards", with_pid=True)
+    ranked = running_before(held, ["_all"], [F.col(key)], F.lit(1).cast("bigint"), "_place")
+    shard = F.floor(F.col("_place") / per_shard).cast("int")
+    return ranked.select(key, shard.alias("shard"), "document", F.sha2("document", 256).alias("content_id"))

@@ -145,3 +145,51 @@ def test_registry_officers(spark):
         line[at - 1 : at - 1 + len(value)] = value
     out = readers.parse_fixed_width(spark.createDataFrame([("".join(line),), (" " * 20,)], "value string")).collect()
     assert len(out) == 1 and [o["name"] for o in out[0]["officers"]] == ["JANE DOE", "JOHN ROE"] and out[0]["zip"] is None
+
+
+def test_street_and_deed_edges(spark):
+    from loamgrid.operators import records as R
+
+    cases = ["12 N Oak Street, Town, FL 12345", "5 Main", "", "7 ELM RUN, ga 12345-6789", "1 E", None]
+    got = [r[0] for r in spark.createDataFrame([(c,) for c in cases], "v string").select(R.street_parts(F.col("v"))).collect()]
+    assert tuple(got[0]) == ("12", "N", "OAK", "St", "TOWN", "FL", "12345", None)
+    assert tuple(got[1])[:4] == ("5", None, "MAIN", None) and got[2]["number"] is None
+    assert tuple(got[3]) == ("7", None, "ELM", "Run", None, "GA", "12345", "6789")
+    assert got[4]["direction"] == "E" and got[4]["name"] is None
+    raw = {"WD": "Warranty Deed", "qc: x": "Quitclaim Deed", "Special  Warranty": "Special Warranty Deed", "agreement deed": "Contract for Deed", "??": "Miscellaneous"}
+    out = spark.createDataFrame([(k,) for k in raw], "v string").select("v", R.deed_type(F.col("v"))).collect()
+    assert {r[0]: r[1] for r in out} == raw
+
+
+def test_parent_clash_raises(spark):
+    from loamgrid.operators import records as R
+
+    children = spark.createDataFrame([("p",), ("q",), (None,)], "key string")
+    parents = spark.createDataFrame([("p", 1), ("q", 2)], "key string, id int")
+    assert {r["key"]: r["id"] for r in R.one_parent_each(children, parents, "key", "id").collect()} == {"p": 1, "q": 2, None: None}
+    with pytest.raises(Exception, match="several id"):
+        R.one_parent_each(children, parents.union(spark.createDataFrame([("q", 3)], parents.schema)), "key", "id").collect()
+    with pytest.raises(J.ConflictError):
+        R.refuse_columns(spark.createDataFrame([(1, 2)], "a int, SSN int"), {"ssn"})
+
+
+def test_profiles(spark):
+    from loamgrid.operators import records as R
+
+    ld = '{"@graph":[{"@type":"LocalBusiness","name":"Apex","telephone":"1","x":[{"@type":"AggregateRating","ratingValue":"4.5","reviewCount":12}]}]}'
+    html = f'<script type="application/ld+json">{ld}</script><p>This business is not accredited</p><a href="https://facebook.com/a"></a><a href="https://apex.example/">w</a>'
+    out = R.profiles_from_pages(spark.createDataFrame([(1, html), (2, None), (3, '<script type="application/ld+json">{bad</script>')], "page_id bigint, html string"))
+    assert [tuple(r) for r in out.collect()] == [(1, "LocalBusiness", "Apex", "1", 4.5, 12, False, "https://apex.example/")]
+
+
+def test_paged_sources(spark, tmp_path):
+    from loamgrid.sources import paged
+
+    plan = paged.page_plan(spark, 23, 10)
+    assert rows(plan) == [(0, 0, 10), (1, 10, 20), (2, 20, 23)]
+    out = paged.fetch_pages(plan, lambda a, b: ((i, i * i) for i in range(a + 1, b + 1)), "id bigint, sq bigint")
+    assert rows(out) == [(i, i * i) for i in range(1, 24)]
+    spark.range(6).withColumn("year", F.col("id") % 2).write.partitionBy("year").parquet(f"{tmp_path}/p")
+    assert paged.scan_partitioned(spark, f"{tmp_path}/p", ("year",), year=1).count() == 3
+    with pytest.raises(ValueError):
+        paged.scan_partitioned(spark, f"{tmp_path}/p", ("year",))
