@@ -38,9 +38,12 @@ def line_dedup(spark: SparkSession, docs: DataFrame, sf_dir: str) -> DataFrame:
 
 
 def near_dedup(spark: SparkSession, docs: DataFrame, sf_dir: str) -> DataFrame:
-    """The document of the smallest doc_id of each group of near-duplicates."""
+    """The document of the smallest doc_id of each group of near-duplicates, once.
+
+    Rows without a doc_id can't be told apart and go.
+    """
     first = near_duplicates(docs).filter("doc_id = component_id").select("doc_id").distinct()
-    return docs.join(first, "doc_id", "left_semi").select(docs.columns)
+    return docs.join(first, "doc_id", "left_semi").dropDuplicates(["doc_id"]).select(docs.columns)
 
 
 def mixing(spark: SparkSession, docs: DataFrame, sf_dir: str) -> DataFrame:

@@ -1,81 +1,26 @@
-"""What the operators share: stable intermediate tables, distributed numbering, batches of rows."""
+"""What the operators share: tables, batches of rows, and the numbering of the library."""
 
 from __future__ import annotations
 
-import atexit
 import sys
-import tempfile
 import types
-import uuid
 from collections.abc import Iterator
 
 import pyarrow as pa
-from pyspark.sql import Column, DataFrame, SparkSession, Window
-from pyspark.sql import functions as F
+from pyspark.sql import DataFrame, SparkSession
+
+from loamgrid.operators.numbering import discard, materialise, running_before, scratch_root
+
+__all__ = ["discard", "materialise", "running_before", "scratch_root", "slices", "table", "worker_wide"]
 
 #: Rows that a Python function holds as objects at a time.
 SLICE_ROWS = 256
 
-_own_scratch: list[str] = []
-
 
 def table(spark: SparkSession, sf_dir: str, name: str) -> DataFrame:
     return spark.read.parquet(f"{sf_dir.rstrip('/')}/{name}.parquet")
 
 
-def scratch_root(spark: SparkSession) -> str:
-    """The shared folder that the cluster names; a folder of our own only where none is named (tests)."""
-    named = spark.conf.get("spark.checkpoint.dir", None)
-    if named:
-        return named.rstrip("/")
-    if not _own_scratch:
-        held = tempfile.TemporaryDirectory(prefix="loamgrid-")
-        atexit.register(held.cleanup)
-        _own_scratch.append("file://" + held.name)
-    return _own_scratch[0]
-
-
-def materialise(df: DataFrame, name: str, with_pid: bool = False) -> DataFrame:
-    """Write a table into the shared scratch folder and return its scan: lineage ends there.
-
-    Lost executors cost nothing, since files are committed per task. ``with_pid`` adds ``pid``, the number of the
-    partition that wrote the row; being stored, it stays the same however often the table is read.
-    """
-    spark = df.sparkSession
-    path = f"{scratch_root(spark)}/loamgrid/{name}-{uuid.uuid4().hex}"
-    out = df.withColumn("pid", F.spark_partition_id()) if with_pid else df
-    out.write.option("compression", "zstd").parquet(path)
-    held = spark.read.schema(out.schema).parquet(path)
-    held._scratch_path = path
-    return held
-
-
-def discard(*tables: DataFrame) -> None:
-    """Delete tables made by ``materialise`` that nothing reads any more, such as those of a loop's last round."""
-    for df in tables:
-        path = getattr(df, "_scratch_path", None)
-        if path is not None:
-            spark = df.sparkSession
-            where = spark._jvm.org.apache.hadoop.fs.Path(path)
-            where.getFileSystem(spark._jsc.hadoopConfiguration()).delete(where, True)
-
-
-def running_before(df: DataFrame, keys: list[str], order: list[Column], value: Column, name: str) -> DataFrame:
-    """Add ``name``: the sum of ``value`` over the rows of the same keys that come before this one.
-
-    ``df`` has the column ``pid`` of ``materialise``. Rows are ordered by (pid, order); a window only ever holds the
-    rows of one key in one partition, and the sums per (key, pid) are carried across partitions, so that a key with
-    a third of all rows is numbered by many tasks. Keys must not be null.
-    """
-    held = df.withColumn("_v", value)
-    sums = held.groupBy(*keys, "pid").agg(F.sum("_v").alias("_s"))
-    before = Window.partitionBy(*keys).orderBy("pid").rowsBetween(Window.unboundedPreceding, -1)
-    base = sums.select(*keys, "pid", F.coalesce(F.sum("_s").over(before), F.lit(0)).alias("_b"))
-    local = Window.partitionBy(*keys, "pid").orderBy(*order).rowsBetween(Window.unboundedPreceding, -1)
-    out = held.withColumn("_l", F.coalesce(F.sum("_v").over(local), F.lit(0))).join(base, [*keys, "pid"])
-    return out.withColumn(name, F.col("_b") + F.col("_l")).drop("_v", "_b", "_l")
-
-
 def slices(batches: Iterator[pa.RecordBatch], rows: int = SLICE_ROWS) -> Iterator[pa.RecordBatch]:
     """The same rows in small batches, so that long texts don't meet in memory."""
     for batch in batches:
