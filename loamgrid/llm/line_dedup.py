@@ -87,11 +87,11 @@ def dedupe_lines(docs: DataFrame, width: int = WINDOW) -> DataFrame:
     counted = windows.groupBy("hash").agg(first, F.count(F.lit(1)).alias("n"))
     repeated = materialise(counted.filter("n > 1").select("hash", "first"), "line-repeats")
     later = windows.join(repeated, "hash").filter(F.struct("doc_id", "at") > F.col("first"))
-    starts = later.groupBy(F.col("doc_id").alias("_doc")).agg(F.sort_array(F.collect_set("at")).alias("_starts"))
+    starts = later.groupBy(F.col("doc_id").alias("__line_doc")).agg(F.sort_array(F.collect_set("at")).alias("__line_starts"))
     new = ("n_removed_lines", "n_removed_words", "n_words_before")
     kept = docs.select([c for c in docs.columns if c not in new])
     at = kept.columns.index("text")
-    joined = kept.join(starts, F.col("doc_id").cast("bigint") == F.col("_doc"), "left").drop("_doc")
+    joined = kept.join(starts, F.col("doc_id").cast("bigint") == F.col("__line_doc"), "left").drop("__line_doc")
     schema = kept.schema
     for name in new:
         schema = schema.add(name, "long")
