@@ -205,6 +205,9 @@ class MediaStore:
 def store_media(docs: DataFrame, cuts: Cuts = Cuts()) -> MediaStore:
     """Write the payloads of ``docs`` (doc_id, text; null: empty) as deduplicated chunks into the shared scratch folder.
 
+    ``docs`` must give the same rows in the same partitions both times it is read, as a scan of files does; materialise
+    anything else first. Otherwise chunks may be found missing on reading back, which raises.
+
     Scale: texts are read twice, first for digests, then for the frames (zstandard) that tasks offer. Each digest's
     least place owns it; the other offers, a small share, and owners used both ways are noted by place and met by
     a join, so that payloads need not move where the notes are small by measured size, and move once otherwise. Hot

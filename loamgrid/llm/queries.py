@@ -15,7 +15,7 @@ from loamgrid.llm.quality_rules import judge_documents
 from loamgrid.llm.resampling import resample_documents
 from loamgrid.llm.sharding import shard_documents
 from loamgrid.llm.simhash import near_duplicates
-from loamgrid.llm.sql import LINE_DEDUP_SQL, license_scan_sql, quality_rules_sql
+from loamgrid.llm.sql import LINE_DEDUP_SQL, license_scan_sql, quality_rules_sql, url_filter_sql
 from loamgrid.llm.url_filter import filter_urls
 
 
@@ -73,7 +73,7 @@ def op9_sainte_lague_mixing(spark: SparkSession, sf_dir: str) -> DataFrame:
 
 
 def op10_link_graph_url_filter(spark: SparkSession, sf_dir: str) -> DataFrame:
-    return filter_urls(table(spark, sf_dir, "pages"))
+    return filter_urls(table(spark, sf_dir, "pages")).select("page_id", "host", "path", "rule", "verdict")
 
 
 QUERIES = {
@@ -92,10 +92,11 @@ QUERIES = {
     )
 }
 
-#: Packing, fingerprints, sharding, chunks, apportionment, sampling and link scores have no SQL form: tests hold them
+#: Packing, fingerprints, sharding, chunks, apportionment and sampling have no SQL form: tests hold them
 #: against brute force.
 ORACLE_SQL = {
     "op4_line_window_dedup": LINE_DEDUP_SQL,
     "op5_line_first_cleaning": quality_rules_sql(),
     "op6_license_sentence_rules": license_scan_sql(),
+    "op10_link_graph_url_filter": url_filter_sql(),
 }

@@ -33,7 +33,7 @@ RULES = (
     Rule("org", "/fr/", "allow"),
 )
 UPPER, LOWER = "ABCDEFGHIJKLMNOPQRSTUVWXYZ", "abcdefghijklmnopqrstuvwxyz"
-LINK = r"""(?i)<a\b[^>]{0,2000}?\bhref\s*=\s*["']?\s*(?:https?:)?//([^/?#"'\s>\\]+)"""
+LINK = r"""(?i)<a\b[^>]{0,1000}?\bhref\s*=\s*["']?\s*(?:https?:)?//([^/?#"'\s>\\]+)"""
 
 
 def url_rest(url: Column) -> Column:
