@@ -18,6 +18,9 @@ from loamgrid.llm.simhash import near_duplicates
 
 #: A document that loses more than this share of its words to repeats of others is a copy and goes.
 MAX_REPEATED_SHARE = 0.5
+#: Differing bits at which texts count as near-duplicates here: more than in the operator's own query, as texts with a
+#: word changed here and there should go too.
+NEAR_RADIUS = 4
 
 
 def _columns(docs: DataFrame, out: DataFrame) -> DataFrame:
@@ -42,7 +45,7 @@ def near_dedup(spark: SparkSession, docs: DataFrame, sf_dir: str) -> DataFrame:
 
     Rows without a doc_id can't be told apart and go.
     """
-    first = near_duplicates(docs).filter("doc_id = component_id").select("doc_id").distinct()
+    first = near_duplicates(docs, NEAR_RADIUS).filter("doc_id = component_id").select("doc_id").distinct()
     return docs.join(first, "doc_id", "left_semi").dropDuplicates(["doc_id"]).select(docs.columns)
 
 

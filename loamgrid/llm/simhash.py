@@ -2,9 +2,9 @@
 
 Fingerprints that differ in few bits are found in BK-trees, whose children are keyed by their Hamming distance to
 the parent: a search at radius r follows only edges within r of its own distance. The corpus is cut into shard trees
-by 16-bit blocks of the fingerprints: of four blocks, two differing bits touch two at most, so linked fingerprints
-agree in at least two blocks and meet in the tree of that pair of blocks. Trees travel to their queries by shuffle,
-not by broadcast, since together they hold every fingerprint and so grow with the corpus.
+by blocks of the fingerprints' bits: r differing bits touch r blocks at most, so linked fingerprints agree in all the
+others and meet in the tree of some of these. Trees travel to their queries by shuffle, not by broadcast, since
+together they hold every fingerprint and so grow with the corpus.
 """
 
 from __future__ import annotations
@@ -22,7 +22,8 @@ from loamgrid.llm.common import discard, materialise, slices
 SEED = 42
 SHINGLE = 3
 RADIUS = 2
-BLOCKS, BLOCK_BITS = 4, 16
+#: Beyond this radius too many shard trees would hold each fingerprint.
+MAX_RADIUS = 6
 #: Hashes whose bits are counted at a time.
 COUNT_ROWS = 1 << 16
 
@@ -130,16 +131,34 @@ def links_within(values: list[int], radius: int) -> list[tuple[int, int]]:
     return [(at, k) for k, value in enumerate(values) for at in tree.add(value)]
 
 
-def block_keys(fp: Column) -> Column:
-    """One key for each pair of blocks: the pair's number and the blocks' bits."""
-    block = lambda i: F.shiftrightunsigned(fp, BLOCK_BITS * i).bitwiseAND(F.lit((1 << BLOCK_BITS) - 1))
-    pairs = list(combinations(range(BLOCKS), 2))
-    key = lambda n, i, j: (F.lit(n).cast("bigint") * (1 << 2 * BLOCK_BITS)) + block(i) * (1 << BLOCK_BITS) + block(j)
-    return F.array(*[key(n, i, j) for n, (i, j) in enumerate(pairs)])
+def block_plan(radius: int) -> tuple[list[tuple[int, int]], int]:
+    """((first bit, bits) of each block, blocks that make a key): at least so many blocks agree at ``radius``.
+
+    Four blocks, two to a key (6 keys of 32 bits), serve radius 2; beyond it radius + 3 blocks, three to a key, such as
+    35 keys of 27 bits for radius 4.
+    """
+    if not 0 <= radius <= MAX_RADIUS:
+        raise ValueError(f"radius must be within 0 and {MAX_RADIUS}")
+    blocks, shared = (4, 2) if radius <= 2 else (radius + 3, 3)
+    cuts = [64 * i // blocks for i in range(blocks + 1)]
+    return [(a, b - a) for a, b in zip(cuts, cuts[1:])], shared
+
+
+def block_keys(fp: Column, radius: int = RADIUS) -> Column:
+    """One key for each choice of blocks: its number and the blocks' bits."""
+    blocks, shared = block_plan(radius)
+    keys = []
+    for n, chosen in enumerate(combinations(blocks, shared)):
+        key = F.lit(n).cast("bigint")
+        for first, bits in chosen:
+            part = F.shiftrightunsigned(fp, first).bitwiseAND(F.lit((1 << bits) - 1).cast("bigint"))
+            key = F.shiftleft(key, bits).bitwiseOR(part)
+        keys.append(key)
+    return F.array(*keys)
 
 
 def shard_links(nodes: DataFrame, radius: int) -> DataFrame:
-    """(a, b) with a < b: links between nodes (fp, rep), by the shard trees. At most five links a node and pair of blocks."""
+    """(a, b) with a < b: links between nodes (fp, rep), by the shard trees: those that join what all such pairs would join."""
 
     def grouped(batches):
         """(fps, reps) of each key that two or more nodes share; rows come sorted by key."""
@@ -171,7 +190,7 @@ def shard_links(nodes: DataFrame, radius: int) -> DataFrame:
     def as_batch(pairs):
         return pa.RecordBatch.from_arrays([pa.array(x, pa.int64()) for x in zip(*pairs)], names=["a", "b"])
 
-    routed = nodes.select(F.explode(block_keys(F.col("fp"))).alias("key"), "fp", "rep")
+    routed = nodes.select(F.explode(block_keys(F.col("fp"), radius)).alias("key"), "fp", "rep")
     parts = int(nodes.sparkSession.conf.get("spark.sql.shuffle.partitions"))
     sorted_rows = routed.repartition(parts, "key").sortWithinPartitions("key", "fp")
     return sorted_rows.mapInArrow(run, "a bigint, b bigint").distinct()
@@ -213,16 +232,15 @@ def near_duplicates(docs: DataFrame, radius: int = RADIUS) -> DataFrame:
 
     Words are runs other than 0x20 and 0x09-0x0D of the text with A-Z lower-cased; shingles are three words, repeats
     included; a shorter text is one shingle; null and wordless texts have fingerprint zero and link like any other.
-    Fingerprints link at ``radius`` (2 at most, for four blocks) or fewer differing bits; ``component_id`` is the
+    Fingerprints link at ``radius`` or fewer differing bits (``block_plan``); ``component_id`` is the
     smallest doc_id reached. A null doc_id takes the component of its fingerprint and links nothing of its own.
     Repeated rows stay; further columns are ignored; an empty table gives an empty result.
 
     Scale: texts are read once. Copies meet by fingerprint with map-side combining, so a group of copies is one node
-    whatever its size; nodes go to six shard trees each, sorted by key and streamed; the links that come back are
+    whatever its size; nodes go to six shard trees each at radius 2, sorted by key and streamed; the links that come back are
     those that join groups, never all pairs.
     """
-    if not 0 <= radius < BLOCKS - 1:
-        raise ValueError(f"radius must be under {BLOCKS - 1}")
+    block_plan(radius)
     prints = materialise(fingerprints(docs), "simhash-prints")
     nodes = materialise(prints.groupBy("fp").agg(F.min("doc_id").alias("rep")), "simhash-nodes")
     labels = components(shard_links(nodes.filter("rep is not null"), radius))

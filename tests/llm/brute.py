@@ -38,11 +38,11 @@ def fingerprint(text):
     return sum(1 << b for b in range(64) if 2 * sum(h >> b & 1 for h in hashes) > len(hashes))
 
 
-def near_duplicates(rows):
+def near_duplicates(rows, radius=2):
     """{doc_id: (hex fingerprint, component)}, doc_ids being distinct."""
     rows = sorted(rows)
     prints = [fingerprint(text) for _, text in rows]
-    groups = components(len(rows), lambda i, k: (prints[i] ^ prints[k]).bit_count() <= 2)
+    groups = components(len(rows), lambda i, k: (prints[i] ^ prints[k]).bit_count() <= radius)
     return {key: (f"{fp:016x}", rows[g][0]) for (key, _), fp, g in zip(rows, prints, groups)}
 
 

@@ -110,6 +110,28 @@ def test_simhash(spark, sf_dir, rows, odd):
         assert got == want
 
 
+@pytest.mark.parametrize("radius", range(7))
+def test_linked_fingerprints_share_a_key(radius):
+    """Whatever bits differ, some choice of blocks avoids them all."""
+    blocks, shared = simhash.block_plan(radius)
+    assert sum(bits for _, bits in blocks) == 64 and len(blocks) - radius >= shared
+    random.seed(radius)
+    for _ in range(200):
+        touched = {next(i for i, (a, n) in enumerate(blocks) if a <= b < a + n) for b in random.sample(range(64), radius)}
+        assert len(blocks) - len(touched) >= shared
+
+
+def test_simhash_at_a_wider_radius(spark):
+    docs = spark.read.parquet("/root/testdata/sf0.001/documents.parquet")
+    words = [f"w{i}" for i in range(400)]
+    texts = [(10_000 + k, " ".join("x" if i in {37 * j + k for j in range(k)} else w for i, w in enumerate(words))) for k in range(12)]
+    rows = [(r["doc_id"], r["text"]) for r in docs.collect()] + texts
+    got = {r[0]: r[2] for r in simhash.near_duplicates(spark.createDataFrame(rows, "doc_id bigint, text string"), 4).collect()}
+    assert got == {k: c for k, (_, c) in brute.near_duplicates(rows, 4).items()}
+    with pytest.raises(ValueError):
+        simhash.near_duplicates(docs, 7)
+
+
 @pytest.mark.parametrize("seed", range(4))
 def test_bk_tree_links_what_all_pairs_link(seed):
     random.seed(seed)

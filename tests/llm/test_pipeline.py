@@ -14,7 +14,7 @@ def plain_stages(rows):
     assert all(not brute.base_rules(t)[-1] for k, t, _ in rows if k in {r[0] for r in one})
     texts = brute.dedupe_lines([r[:2] for r in one])
     two = [(k, texts[k], s) for k, t, s in one if 2 * (len(brute.words(t)) - len(brute.words(texts[k]))) <= len(brute.words(t))]
-    groups = brute.near_duplicates([r[:2] for r in two])
+    groups = brute.near_duplicates([r[:2] for r in two], corpus_pipeline.NEAR_RADIUS)
     return one, two, [r for r in two if groups[r[0]][1] == r[0]]
 
 
