@@ -11,7 +11,7 @@ from pyspark.sql import DataFrame, SparkSession
 
 from loamgrid.operators.numbering import discard, materialise, running_before, scratch_root
 
-__all__ = ["discard", "materialise", "running_before", "scratch_root", "slices", "table", "worker_wide"]
+__all__ = ["discard", "materialise", "running_before", "scratch_root", "slices", "spread", "table", "worker_wide"]
 
 #: Rows that a Python function holds as objects at a time.
 SLICE_ROWS = 256
@@ -28,6 +28,12 @@ def slices(batches: Iterator[pa.RecordBatch], rows: int = SLICE_ROWS) -> Iterato
             yield batch.slice(at, rows)
 
 
+def spread(scan: DataFrame) -> DataFrame:
+    """A scan of fewer tasks than the cluster has cores, such as of one small file, dealt to as many; else as it is."""
+    cores = scan.sparkSession.sparkContext.defaultParallelism
+    return scan.repartition(cores) if scan.rdd.getNumPartitions() < cores else scan
+
+
 def worker_wide(name: str, make):
     """What ``make`` returns, made once in a Python worker and kept for the tasks that it runs later."""
     held = sys.modules.setdefault("_loamgrid_worker", types.ModuleType("_loamgrid_worker")).__dict__
