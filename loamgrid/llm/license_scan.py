@@ -11,6 +11,30 @@ import re
 from pyspark.sql import Column, DataFrame
 from pyspark.sql import functions as F
 
+#: Creative Commons licences by their short names.
+CC = {
+    "BY": "Attribution",
+    "BY-SA": "Attribution-ShareAlike",
+    "BY-NC": "Attribution-NonCommercial",
+    "BY-ND": "Attribution-NoDerivatives",
+    "BY-NC-SA": "Attribution-NonCommercial-ShareAlike",
+    "BY-NC-ND": "Attribution-NonCommercial-NoDerivatives",
+}
+CC_VERSIONS = ("4.0", "3.0")
+#: Ways to write a short notice; {0} is a name such as CC BY-NC 4.0.
+CC_NOTICES = [
+    start + name
+    for start in ("Licensed under ", "This work is licensed under ", "Released under ")
+    for name in ("{0}", "the {0} License", "a {0} License", "{0} International")
+]
+#: Fixed values: (SPDX identifier, licence); an identifier counts only after SPDX_TAG.
+SPDX_TAG = "SPDX-License-Identifier"
+SPDX = (
+    *[(x, x) for x in ("MIT", "ISC", "BSD-2-Clause", "BSD-3-Clause", "Apache-2.0", "MPL-2.0", "Unlicense", "CC0-1.0")],
+    *[(x + end, x) for x in ("GPL-2.0", "GPL-3.0", "LGPL-3.0", "AGPL-3.0") for end in ("", "-only", "-or-later")],
+    *[(f"CC-{k}-{v}", f"CC-{k}-{v}") for k in CC for v in CC_VERSIONS],
+)
+
 #: Sentences of public licence texts and of the notices that name them, by identifier.
 SENTENCES = {
     "mit-notice": "Released under the MIT License",
@@ -74,6 +98,20 @@ SENTENCES = {
     "cc-by-nc": "This work is licensed under a Creative Commons Attribution-NonCommercial 4.0 International License.",
     "cc0": "To the extent possible under law, the author has dedicated all copyright and related and neighboring "
     "rights to this software to the public domain worldwide.",
+    **{
+        f"cc-{k.lower()}": f"This work is licensed under a Creative Commons {name} 4.0 International License."
+        for k, name in CC.items()
+        if k not in ("BY", "BY-SA", "BY-NC")
+    },
+    **{
+        f"cc-{k.lower()}-{v}-notice-{n}": notice.format(f"CC {k} {v}")
+        for k in CC
+        for v in CC_VERSIONS
+        for n, notice in enumerate(CC_NOTICES, 1)
+    },
+    **{f"cc0-notice-{n}": notice.format("CC0 1.0") for n, notice in enumerate(CC_NOTICES, 1)},
+    "spdx": SPDX_TAG,
+    **{f"spdx-{key.lower()}": key for key, _ in SPDX},
 }
 
 #: Fixed values: (licence, identifiers in order); a longer rule counts before a shorter one that it contains.
@@ -114,6 +152,10 @@ RULES = (
     ("CC-BY-SA-4.0", ("cc-by-sa",)),
     ("CC-BY-NC-4.0", ("cc-by-nc",)),
     ("CC0-1.0", ("cc0",)),
+    *[(f"CC-{k}-4.0", (f"cc-{k.lower()}",)) for k in CC if k not in ("BY", "BY-SA", "BY-NC")],
+    *[(f"CC-{k}-{v}", (f"cc-{k.lower()}-{v}-notice-{n}",)) for k in CC for v in CC_VERSIONS for n in range(1, len(CC_NOTICES) + 1)],
+    *[("CC0-1.0", (f"cc0-notice-{n}",)) for n in range(1, len(CC_NOTICES) + 1)],
+    *[(name, ("spdx", f"spdx-{key.lower()}")) for key, name in SPDX],
 )
 
 #: Licences whose texts contain each other's rules; only the longest of them counts.
@@ -121,8 +163,11 @@ CONTAINING = {"BSD-2-Clause": "BSD", "BSD-3-Clause": "BSD"}
 
 #: A sentence ends at a mark before white space or the end, at a semicolon or colon so placed, or at an empty line.
 END = r"[.!?;:]+(?:[ \t\n\r]+|$)|\n[ \t\r]*\n[ \t\r\n]*"
-#: Every known sentence has one of these.
-ANCHOR = r"(?i)licen|permi|copyright|redistribut|software|warrant|mozilla"
+#: Every known sentence has one of these; a bare SPDX identifier only as a whole text, since its tag has "licen".
+ANCHOR = (
+    r"(?i)licen|permi|copyright|redistribut|software|warrant|mozilla|\bcc[ -]by|\bcc0"
+    r"|^(?:mit|isc|bsd [23] clause|apache 2 0|mpl 2 0|[al]?gpl [23] 0(?: only| or later)?)$"
+)
 LINE_END = r"[.!?;:]+(?:[ \t\n\r]+|$)|\n[ \t\r\n]*"
 
 

@@ -205,6 +205,28 @@ def test_license_scan(spark):
     assert all(re.search(license_scan.ANCHOR, s) for s in license_scan.known_table())
 
 
+def test_short_license_notices(spark):
+    texts = {
+        1: ("Own words first.\nLicensed under CC BY-NC 4.0.\nMore.", "CC-BY-NC-4.0"),
+        2: ("This work is licensed under CC BY-SA 4.0.", "CC-BY-SA-4.0"),
+        3: ("Released under the CC BY-NC-ND 3.0 license", "CC-BY-NC-ND-3.0"),
+        4: ("// SPDX-License-Identifier: MIT\nint main() { return 0; }", "MIT"),
+        5: ("# SPDX-License-Identifier: GPL-3.0-or-later\n\nimport os\n", "GPL-3.0"),
+        6: ("This work is licensed under CC0 1.0.", "CC0-1.0"),
+        7: ("Er ging\nmit\nihr. The licence of a poet.", ""),
+    }
+    docs = spark.createDataFrame([(k, t) for k, (t, _) in texts.items()], "doc_id bigint, text string")
+    got = {r["doc_id"]: r["licenses"] for r in license_scan.scan_licenses(docs).collect()}
+    assert got == {k: name for k, (_, name) in texts.items()}
+
+
+def test_every_license_line_of_the_tables_is_known(spark):
+    docs = spark.read.parquet("/root/testdata/sf0.1/documents.parquet")
+    lines = docs.select(F.explode(F.split("text", "\n")).alias("text")).filter("lower(text) like '%licen%'").distinct()
+    out = license_scan.scan_licenses(lines.select(F.lit(1).alias("doc_id"), "text")).collect()
+    assert len(out) >= 4 and all(r["licenses"] for r in out)
+
+
 def test_sharding(spark, sf_dir, rows, odd):
     out = sharding.shard_documents(spark.read.parquet(f"{sf_dir}/documents.parquet"), 4).collect()
     texts = {k: t for k, t, _ in rows}
