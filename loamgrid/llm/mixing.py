@@ -1,12 +1,13 @@
 """Mixing sources to target weights by Sainte-Laguë apportionment.
 
-Blocks of equally many tokens are allocated to sources by highest quotients; the awards, dealt in turn to the
-shards, give each shard integer quotas; each source then serves its blocks from a seeded order of its documents.
+Tokens are allocated to sources by highest quotients, all but the last of them at once; the awards, dealt in turn
+to the shards, give each shard integer quotas; each source then serves its tokens from a seeded order of its documents.
 """
 
 from __future__ import annotations
 
 import heapq
+import math
 from dataclasses import dataclass
 
 from pyspark.sql import DataFrame
@@ -14,7 +15,7 @@ from pyspark.sql import functions as F
 
 from loamgrid.llm.common import materialise, running_before
 
-#: Blocks that are allocated at most; the mix misses a target by about total / MAX_BLOCKS tokens.
+#: Seats that are awarded one by one at most, besides about one for each source; those before come in closed form.
 MAX_BLOCKS = 1 << 16
 #: Sources whose table is sent to all tasks; with more it is joined by a shuffle.
 MOST_BROADCAST = 50_000
@@ -22,7 +23,7 @@ MOST_BROADCAST = 50_000
 
 @dataclass(frozen=True)
 class Plan:
-    """block: tokens of a block; sources: (name, size, target, blocks, blocks of each shard)."""
+    """block: tokens of a seat, always 1; sources: (name, size, target, seats, seats of each shard)."""
 
     block: int
     sources: list[tuple[str | None, int, float, int, list[int]]]
@@ -45,9 +46,24 @@ def targets(sizes: list[int], weights: list[float], total: float, most: float) -
     return out
 
 
-def sainte_lague(goals: list[float], seats: int, most: list[int]) -> list[int]:
+def first_seats(goals: list[float], seats: int, most: list[int]) -> list[int]:
+    """Seats of each party after some number of awards, ``seats`` at most, in closed form.
+
+    All seats of a quotient goal / (k + 1/2) of a divisor or more are the first ones to be awarded; a divisor that
+    shares out half a seat a party less than ``seats`` can't round up to more than these.
+    """
+    share = seats - len(goals) / 2
+    if share <= 0 or not sum(goals):
+        return [0] * len(goals)
+    divisor = sum(goals) / share
+    out = [min(m, math.floor(g / divisor + 0.5)) for g, m in zip(goals, most)]
+    return out if sum(out) <= seats else [max(0, n - 1) for n in out]
+
+
+def sainte_lague(goals: list[float], seats: int, most: list[int], so_far: list[int] | None = None) -> list[int]:
     """The party that gets each seat, in order: highest goal / (2 * seats so far + 1), none beyond its most."""
-    heap = [(-g, i, 0) for i, g in enumerate(goals) if g > 0 and most[i] > 0]
+    held = so_far or [0] * len(goals)
+    heap = [(-g / (2 * n + 1), i, n) for i, (g, n) in enumerate(zip(goals, held)) if g > 0 and n < most[i]]
     heapq.heapify(heap)
     out = []
     while heap and len(out) < seats:
@@ -62,13 +78,17 @@ def plan_mix(totals: list[tuple[str | None, int]], weights: tuple[float, ...], m
     """totals: (source, tokens) by code point of the source, null last; weights repeat along them."""
     sizes = [s for _, s in totals]
     total = sum(sizes)
-    block = max(1, total // MAX_BLOCKS)
     goals = targets(sizes, [weights[i % len(weights)] for i in range(len(sizes))], total, most)
-    awards = sainte_lague(goals, total // block, [most * s // block for s in sizes])
-    quotas = [[0] * n_shards for _ in sizes]
-    for k, i in enumerate(awards):
+    limits = [most * s for s in sizes]
+    first = first_seats(goals, total - MAX_BLOCKS, limits)
+    awards = sainte_lague(goals, total - sum(first), limits, first)
+    quotas, dealt = [], 0
+    for n in first:
+        quotas.append([n // n_shards + ((j - dealt) % n_shards < n % n_shards) for j in range(n_shards)])
+        dealt += n
+    for k, i in enumerate(awards, dealt):
         quotas[i][k % n_shards] += 1
-    return Plan(block, [(n, s, g, sum(q), q) for (n, s), g, q in zip(totals, goals, quotas)])
+    return Plan(1, [(n, s, g, sum(q), q) for (n, s), g, q in zip(totals, goals, quotas)])
 
 
 def mix_documents(
@@ -77,14 +97,14 @@ def mix_documents(
     """One row per row of ``docs`` (doc_id, text, source): source, size, source_size, target, taken, start, quota.
 
     Size is the number of words (runs other than 0x20 and 0x09-0x0D; none in a null text). A source's documents,
-    ordered by a seeded hash, form a cycle of tokens; its blocks are cut from the cycle's start, so ``taken``, the
-    words of a document within them, sums to exactly blocks * block per source and never exceeds ``most`` times the
-    document's size. ``start`` is the document's place in the cycle, ``quota`` the source's tokens. A null source is
+    ordered by a seeded hash, form a cycle of tokens; its quota is cut from the cycle's start, so ``taken``, the
+    words of a document within it, sums to exactly the quota per source, a word or two from its target however
+    small the source is, and never exceeds ``most`` times the document's size. ``start`` is the document's place in the cycle, ``quota`` the source's tokens. A null source is
     a source; a document without words is kept with taken 0; repeated rows are served each; ties of the hash fall
     back to doc_id and size; an empty table gives an empty result.
 
     Scale: texts are read once, for counts. The driver gets one row per source (a dimension of the corpus, not its
-    rows) and allocates at most MAX_BLOCKS blocks. Starts are prefix sums over a range partitioning by (source,
+    rows) and awards about one seat a source and MAX_BLOCKS more one by one. Starts are prefix sums over a range partitioning by (source,
     hash), so that a source with a third of all rows is spread over many tasks.
     """
     spark = docs.sparkSession

@@ -280,6 +280,30 @@ def test_apportionment():
     assert plan.sources[2][3] * plan.block <= 30 and all(sum(q) == n for *_, n, q in plan.sources)
 
 
+def test_apportionment_serves_small_sources():
+    """Sources far below total / MAX_BLOCKS beside a hot one, and more sources than MAX_BLOCKS."""
+    small = [(f"s{i:04}", 1 + 7 * i) for i in range(300)]
+    for totals in ([("hot", 10**10), *small], [(f"s{i:06}", 30) for i in range(mixing.MAX_BLOCKS + 5000)]):
+        plan = mixing.plan_mix(totals, (5, 2, 1), 3, 16)
+        assert sum(n for *_, n, _ in plan.sources) * plan.block == sum(s for _, s in totals)
+        assert all(abs(n * plan.block - goal) <= 2 for _, _, goal, n, _ in plan.sources)
+        assert all(sum(q) == n <= 3 * s for _, s, _, n, q in plan.sources)
+        shards = [sum(q[j] for *_, q in plan.sources) for j in range(16)]
+        assert max(shards) - min(shards) <= 1
+
+
+def test_first_seats_are_those_of_the_highest_quotients():
+    rng = random.Random(3)
+    for _ in range(200):
+        sizes = [rng.choice([1, 5, 60, 900]) for _ in range(rng.randrange(1, 9))]
+        total, most = sum(sizes), [3 * s for s in sizes]
+        goals = mixing.targets(sizes, [rng.random() + 0.1 for _ in sizes], total, 3)
+        whole = mixing.sainte_lague(goals, total, most)
+        first = mixing.first_seats(goals, total - rng.randrange(9), most)
+        rest = mixing.sainte_lague(goals, total - sum(first), most, first)
+        assert [n + rest.count(i) for i, n in enumerate(first)] == [whole.count(i) for i in range(len(sizes))]
+
+
 def test_media(spark, sf_dir, rows, odd):
     for docs, own in ((spark.read.parquet(f"{sf_dir}/documents.parquet"), rows), (odd, ODD)):
         want = []
