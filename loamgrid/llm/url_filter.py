@@ -33,7 +33,7 @@ RULES = (
     Rule("org", "/fr/", "allow"),
 )
 UPPER, LOWER = "ABCDEFGHIJKLMNOPQRSTUVWXYZ", "abcdefghijklmnopqrstuvwxyz"
-LINK = r"""(?i)<a\b[^>]{0,1000}?\bhref\s*=\s*["']?\s*(?:https?:)?//([^/?#"'\s>\\]+)"""
+LINK = r"""(?i)<a\b[^>]*?\bhref\s*=\s*["']?\s*(?:https?:)?//([^/?#"'\s>\\]+)"""
 
 
 def url_rest(url: Column) -> Column:
@@ -63,7 +63,8 @@ def propagate(edges: DataFrame, seeds: DataFrame, damping: float, rounds: int, t
     """(host, trust, distrust). edges: (src, dst, w) without loops; seeds: (host, trust, distrust), each summing to 1.
 
     Both walks run in one join and one aggregation a round, along rows (from, to, trust share, distrust share); the
-    scores of a round are a written table, and the loop ends when no score moves by more than ``tolerance``.
+    scores of a round are a written table, and the loop ends when no score moves by more than ``tolerance`` times
+    itself: shares shrink with the number of seeds, and what they decide is their ratio.
     """
     out_w = edges.groupBy("src").agg(F.sum("w").alias("out_w"))
     in_w = edges.groupBy("dst").agg(F.sum("w").alias("in_w"))
@@ -90,9 +91,8 @@ def propagate(edges: DataFrame, seeds: DataFrame, damping: float, rounds: int, t
         )
         after = materialise(mixed, "url-scores")
         before = scores.select("host", F.col("trust").alias("t"), F.col("distrust").alias("d"))
-        gap = F.greatest(
-            F.abs(F.col("trust") - F.coalesce("t", F.lit(0.0))), F.abs(F.col("distrust") - F.coalesce("d", F.lit(0.0)))
-        )
+        moved_by = lambda now, then: F.abs(F.col(now) - F.coalesce(then, F.lit(0.0))) / F.when(F.col(now) > 0, F.col(now))
+        gap = F.greatest(moved_by("trust", "t"), moved_by("distrust", "d"))
         change = after.join(before, "host", "left").agg(F.max(gap)).first()[0]
         if scores is not seeds:
             discard(scores)

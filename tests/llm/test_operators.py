@@ -412,6 +412,20 @@ def test_link_graph_against_a_matrix(spark):
         assert abs(r["trust"] - t[i]) < 1e-9 and abs(r["distrust"] - d[i]) < 1e-9
 
 
+def test_small_shares_reach_distant_hosts(spark):
+    """A seed of a millionth of all distrust, at the end of a chain of links."""
+    edges = spark.createDataFrame([(f"h{k + 1}", f"h{k}", 1.0) for k in range(12)], "src string, dst string, w double")
+    seeds = spark.createDataFrame([("h0", 0.0, 1e-6), ("big", 1.0, 1 - 1e-6)], "host string, trust double, distrust double")
+    scores = {r["host"]: r["distrust"] for r in url_filter.propagate(edges, seeds, 0.85, 30, 1e-7).collect()}
+    assert all(abs(scores[f"h{k}"] / (0.15e-6 * 0.85**k) - 1) < 1e-9 for k in range(12))
+
+
+def test_links_behind_long_attributes():
+    import re
+
+    assert re.findall(url_filter.LINK, f'<a title="{"x" * 5000}" href="http://far.net/y">') == ["far.net"]
+
+
 def test_queries_have_their_columns(spark, sf_dir):
     want = {
         "op1": "doc_id piece start length ids_crc32 sequence_id offset",
