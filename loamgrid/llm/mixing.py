@@ -1,7 +1,7 @@
 """Mixing sources to target weights by Sainte-Laguë apportionment.
 
 Tokens are allocated to sources by highest quotients, all but the last of them at once; the awards, dealt in turn
-to the shards, give each shard integer quotas; each source then serves its tokens from a seeded order of its documents.
+to the shards, give each shard integer quotas, which no row is given to; each source then serves its tokens from a seeded order of its documents.
 """
 
 from __future__ import annotations
