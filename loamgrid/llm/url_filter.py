@@ -33,6 +33,8 @@ RULES = (
     Rule("org", "/fr/", "allow"),
 )
 UPPER, LOWER = "ABCDEFGHIJKLMNOPQRSTUVWXYZ", "abcdefghijklmnopqrstuvwxyz"
+#: Rounds of the walks from one written table to the next.
+STRIDE = 5
 LINK = r"""(?i)<a\b[^>]*?\bhref\s*=\s*["']?\s*(?:https?:)?//([^/?#"'\s>\\]+)"""
 
 
@@ -59,12 +61,16 @@ def fitting_rule(host: Column, path: Column, rules: tuple[Rule, ...], field: str
     return out
 
 
-def propagate(edges: DataFrame, seeds: DataFrame, damping: float, rounds: int, tolerance: float) -> DataFrame:
+def propagate(
+    edges: DataFrame, seeds: DataFrame, damping: float, rounds: int, tolerance: float, strict: bool = False
+) -> DataFrame:
     """(host, trust, distrust). edges: (src, dst, w) without loops; seeds: (host, trust, distrust), each summing to 1.
 
     Both walks run in one join and one aggregation a round, along rows (from, to, trust share, distrust share); the
-    scores of a round are a written table, and the loop ends when no score moves by more than ``tolerance`` times
-    itself: shares shrink with the number of seeds, and what they decide is their ratio.
+    scores of every few rounds are a written table, and the loop ends when no score moves by more than ``tolerance``
+    times itself in a round: shares shrink with the number of seeds, and what they decide is their ratio. With
+    ``strict`` walks that ``rounds`` don't bring there are an error, not a result. Mass that reaches a host without a
+    way on is not returned here; see ``whole``.
     """
     out_w = edges.groupBy("src").agg(F.sum("w").alias("out_w"))
     in_w = edges.groupBy("dst").agg(F.sum("w").alias("in_w"))
@@ -75,39 +81,53 @@ def propagate(edges: DataFrame, seeds: DataFrame, damping: float, rounds: int, t
         F.col("dst").alias("a"), F.col("src").alias("b"), F.lit(0.0).alias("t"), (F.col("w") / F.col("in_w")).alias("d")
     )
     steps = materialise(forward.unionByName(backward), "url-steps")
-    start = seeds.select("host", F.col("trust").alias("t0"), F.col("distrust").alias("d0"))
-    scores = seeds
     if steps.isEmpty():
-        return scores
-    for _ in range(rounds):
-        moved = steps.join(scores, F.col("a") == F.col("host")).select(
-            F.col("b").alias("host"), (F.col("trust") * F.col("t")).alias("t"), (F.col("distrust") * F.col("d")).alias("d")
-        )
-        summed = moved.groupBy("host").agg(F.sum("t").alias("t"), F.sum("d").alias("d"))
-        mixed = summed.join(start, "host", "full").select(
-            "host",
-            ((1 - damping) * F.coalesce("t0", F.lit(0.0)) + damping * F.coalesce("t", F.lit(0.0))).alias("trust"),
-            ((1 - damping) * F.coalesce("d0", F.lit(0.0)) + damping * F.coalesce("d", F.lit(0.0))).alias("distrust"),
-        )
-        after = materialise(mixed, "url-scores")
-        before = scores.select("host", F.col("trust").alias("t"), F.col("distrust").alias("d"))
-        moved_by = lambda now, then: F.abs(F.col(now) - F.coalesce(then, F.lit(0.0))) / F.when(F.col(now) > 0, F.col(now))
-        gap = F.greatest(moved_by("trust", "t"), moved_by("distrust", "d"))
-        change = after.join(before, "host", "left").agg(F.max(gap)).first()[0]
-        if scores is not seeds:
+        return seeds
+    none = F.lit(0.0)
+    start = seeds.select("host", ((1 - damping) * F.col("trust")).alias("t"), ((1 - damping) * F.col("distrust")).alias("d"), none.alias("t0"), none.alias("d0"))
+    scores, done = seeds.select("host", "trust", "distrust"), 0
+    while done < rounds:
+        after = scores
+        for k in range(min(STRIDE, rounds - done)):
+            moved = steps.join(after, F.col("a") == F.col("host")).select(
+                F.col("b").alias("host"), (damping * F.col("trust") * F.col("t")).alias("t"), (damping * F.col("distrust") * F.col("d")).alias("d"), none.alias("t0"), none.alias("d0")
+            )
+            then = after.select("host", none.alias("t"), none.alias("d"), F.col("trust").alias("t0"), F.col("distrust").alias("d0"))
+            parts = moved.unionByName(start).unionByName(then)
+            sums = [F.sum(c).alias(n) for c, n in (("t", "trust"), ("d", "distrust"), ("t0", "trust0"), ("d0", "distrust0"))]
+            after = parts.groupBy("host").agg(*sums)
+            done += 1
+        after = materialise(after, "url-scores")
+        if scores.columns != seeds.columns:
             discard(scores)
         scores = after
+        moved_by = lambda now, before: F.abs(F.col(now) - F.col(before)) / F.when(F.col(now) > 0, F.col(now))
+        change = scores.agg(F.max(F.greatest(moved_by("trust", "trust0"), moved_by("distrust", "distrust0")))).first()[0]
         if change is None or change <= tolerance:
             break
-    return scores
+    else:
+        if strict:
+            raise RuntimeError(f"link-graph walks still move by {change} of a score after {rounds} rounds")
+    discard(steps)
+    return scores.select("host", "trust", "distrust")
+
+
+def whole(scores: DataFrame) -> DataFrame:
+    """The walks' scores as shares of 1.
+
+    Mass that ends at hosts without a way on goes back to the seeds; since it leaves them again in the same shares,
+    that multiplies all scores of a walk by the same number, and a walk that loses nothing sums to 1.
+    """
+    t, d = scores.agg(F.sum("trust"), F.sum("distrust")).first()
+    return scores.select("host", (F.col("trust") / F.lit(t or 1.0)).alias("trust"), (F.col("distrust") / F.lit(d or 1.0)).alias("distrust"))
 
 
 def filter_urls(
     pages: DataFrame,
     rules: tuple[Rule, ...] = RULES,
     damping: float = 0.85,
-    rounds: int = 30,
-    tolerance: float = 1e-7,
+    rounds: int = 1000,
+    tolerance: float = 1e-6,
     most_distrust: float = 0.5,
 ) -> DataFrame:
     """One row per row of ``pages`` (page_id, url, html): host, path, rule, verdict, trust, distrust.
@@ -116,6 +136,7 @@ def filter_urls(
     hosts with pages that an allow rule fits, by their number; distrust at hosts with pages that a block rule on the
     whole host (path ``/``) fits: a rule on one path says nothing of a host's other pages. A page without a rule is
     blocked if distrust / (trust + distrust) of its host is above ``most_distrust``; without any score it is allowed.
+    Walks go on until no score moves by more than ``tolerance`` of itself a round; beyond ``rounds`` that is an error.
     Null html has no links; links within a host don't count; several links from one page to a host count once;
     repeated rows are pages of their own; an empty table gives an empty result.
 
@@ -156,7 +177,7 @@ def filter_urls(
         .groupBy("src", "dst")
         .agg(F.count(F.lit(1)).cast("double").alias("w"))
     )
-    scores = propagate(materialise(edges, "url-edges"), seeds, damping, rounds, tolerance)
+    scores = whole(propagate(materialise(edges, "url-edges"), seeds, damping, rounds, tolerance, strict=True))
     scored = judged.join(scores, "host", "left")
     doubt = F.col("distrust") > most_distrust * (F.col("trust") + F.col("distrust"))
     own = F.when(doubt, F.lit("block")).otherwise(F.lit("allow"))

@@ -439,3 +439,50 @@ def test_queries_have_their_columns(spark, sf_dir):
     for name, query in QUERIES.items():
         columns = query(spark, sf_dir).columns
         assert set(want.get(name.split("_")[0], "doc_id").split()) <= set(columns)
+
+
+def test_walks_end_at_their_tolerance_or_raise(spark):
+    edges = spark.createDataFrame([(f"h{k}", f"h{(k + 1) % 9}", 1.0) for k in range(9)], "src string, dst string, w double")
+    seeds = spark.createDataFrame([("h0", 1.0, 0.0), ("h4", 0.0, 1.0)], "host string, trust double, distrust double")
+    with pytest.raises(RuntimeError):
+        url_filter.propagate(edges, seeds, 0.5, 5, 1e-6, strict=True)
+    scores = {r["host"]: r["trust"] for r in url_filter.propagate(edges, seeds, 0.5, 1000, 1e-4, strict=True).collect()}
+    assert all(abs(scores[f"h{k}"] / (0.5 * 0.5**k / (1 - 0.5**9)) - 1) < 1e-3 for k in range(9))
+
+
+def test_mass_of_hosts_without_links_returns_to_the_seeds(spark):
+    """a -> b, a -> c, b -> a; c ends the walk: the scores are those of a walk that jumps from c to the seed."""
+    edges = spark.createDataFrame([("a", "b", 1.0), ("a", "c", 1.0), ("b", "a", 1.0)], "src string, dst string, w double")
+    seeds = spark.createDataFrame([("a", 1.0, 0.0), ("b", 0.0, 1.0)], "host string, trust double, distrust double")
+    got = {r["host"]: r["trust"] for r in url_filter.whole(url_filter.propagate(edges, seeds, 0.5, 1000, 1e-4)).collect()}
+    step, x = np.array([[0, 0.5, 0.5], [1, 0, 0], [1, 0, 0]]), np.array([1.0, 0, 0])
+    for _ in range(300):
+        x = 0.5 * np.array([1.0, 0, 0]) + 0.5 * x @ step
+    assert all(abs(got[h] - x[i]) < 1e-3 for i, h in enumerate("abc"))
+
+
+def test_url_filter_on_many_linked_hosts(spark):
+    """100,000 hosts and some 300,000 links between them, against power iteration over arrays."""
+    n, per = 100_000, 3
+    to = lambda k: (F.col("id") * (2 * k + 3) * 7919 + F.col("id") * F.col("id") * (k + 1)) % n
+    host = lambda i: F.concat(F.lit("h"), i.cast("string"), F.when(i % 50 == 0, ".org").when(i % 37 == 0, ".net").otherwise(".com"))
+    links = F.concat(*[F.concat(F.lit('<a href="http://'), host(to(k)), F.lit('/">x</a>')) for k in range(per)])
+    pages = spark.range(n).select(F.col("id").alias("page_id"), F.concat(F.lit("http://"), host(F.col("id")), F.lit("/fr/")).alias("url"), links.alias("html"))
+    got = sorted(url_filter.filter_urls(pages, tolerance=1e-4).select("page_id", "verdict", "trust", "distrust").collect())
+    i = np.arange(n, dtype=np.int64)
+    pairs = np.unique(np.concatenate([np.stack([i, (i * (2 * k + 3) * 7919 + i * i * (k + 1)) % n]) for k in range(per)], axis=1), axis=1)
+    src, dst = pairs[:, pairs[0] != pairs[1]]
+    out, into = np.bincount(src, minlength=n), np.bincount(dst, minlength=n)
+    good, bad = (i % 50 == 0).astype(float), ((i % 37 == 0) & (i % 50 != 0)).astype(float)
+    t0, d0 = good / good.sum(), bad / bad.sum()
+    t, d = t0, d0
+    for _ in range(200):
+        t = 0.15 * t0 + 0.85 * np.bincount(dst, (t / np.maximum(out, 1))[src], n)
+        d = 0.15 * d0 + 0.85 * np.bincount(src, (d / np.maximum(into, 1))[dst], n)
+    t, d = t / t.sum(), d / d.sum()
+    trust, distrust = np.array([r["trust"] for r in got]), np.array([r["distrust"] for r in got])
+    assert np.allclose(trust, t, rtol=2e-3, atol=1e-12) and np.allclose(distrust, d, rtol=2e-3, atol=1e-12)
+    verdict = np.where(good > 0, "allow", np.where(bad > 0, "block", np.where(d > t, "block", "allow")))
+    near = np.abs(d - t) < 2e-3 * (d + t)
+    wrong = np.array([r["verdict"] for r in got]) != verdict
+    assert not (wrong & ~near).any() and len(set(verdict[(good == 0) & (bad == 0)])) == 2
