@@ -51,22 +51,28 @@ def without_windows(text: str, starts: list[int], width: int = WINDOW) -> tuple[
     return "\n".join(keep), gone, words
 
 
-def windows_of(docs: DataFrame, width: int) -> DataFrame:
-    """(hash, doc_id, at) of every window."""
+def text_key(text: str) -> int:
+    """A signed 64-bit hash of the text, to tell rows of one doc_id apart in the same way on every run."""
+    return int.from_bytes(hashlib.blake2b(text.encode("utf-8", "surrogatepass"), digest_size=8).digest(), "big", signed=True)
+
+
+def windows_of(rows: DataFrame, width: int) -> DataFrame:
+    """(hash, id, text_key, row, at) of every window of rows (row, id, text)."""
 
     def run(batches):
         for batch in slices(batches):
-            hashes, keys, places = [], [], []
-            for key, text in zip(batch.column(0).to_pylist(), batch.column(1).to_pylist()):
+            hashes, ids, keys, numbers, places = [], [], [], [], []
+            for number, id_, text in zip(*(batch.column(i).to_pylist() for i in range(3))):
                 found = window_hashes(text or "", width)
                 hashes += found
-                keys += [key] * len(found)
+                ids += [id_] * len(found)
+                keys += [text_key(text)] * len(found) if found else []
+                numbers += [number] * len(found)
                 places += range(len(found))
-            columns = [pa.array(hashes, pa.binary()), pa.array(keys, pa.int64()), pa.array(places, pa.int32())]
-            yield pa.RecordBatch.from_arrays(columns, names=["hash", "doc_id", "at"])
+            columns = [pa.array(hashes, pa.binary()), *(pa.array(x, pa.int64()) for x in (ids, keys, numbers)), pa.array(places, pa.int32())]
+            yield pa.RecordBatch.from_arrays(columns, names=["hash", "id", "text_key", "row", "at"])
 
-    chosen = docs.filter("doc_id is not null").select(F.col("doc_id").cast("bigint"), F.col("text").cast("string"))
-    return chosen.mapInArrow(run, "hash binary, doc_id bigint, at int")
+    return rows.mapInArrow(run, "hash binary, id bigint, text_key bigint, row bigint, at int")
 
 
 def dedupe_lines(docs: DataFrame, width: int = WINDOW) -> DataFrame:
@@ -74,25 +80,30 @@ def dedupe_lines(docs: DataFrame, width: int = WINDOW) -> DataFrame:
 
     The first occurrence of a window, by doc_id and then place, stays; later ones go, within a document too. Lines
     are compared without surrounding white space; blank lines are passed over. A text of fewer than ``width`` lines
-    with words, a null text and a row with a null doc_id stay as they are. A doc_id stands for one document: rows
-    that repeat it lose the same lines. All columns of ``docs`` are kept, in order; those named like the three new
-    ones are replaced. An empty table gives an empty result.
-
-    Scale: windows travel as 28 bytes, are counted with map-side combining, and the repeated hashes, a written
-    table, meet them in a join of two scans that adaptive execution broadcasts by measured size or splits where a
-    window is in a third of all documents. Texts move once, to meet their own document's places.
+    with words and a null text stay as they are. A row is a document of its own: rows that share a doc_id come in the
+    order of a hash of their texts and lose only their own lines; of rows with equal doc_id and text any one is the
+    first; a null doc_id comes after all others. All columns of ``docs`` are kept, in order; those named like the
+    three new ones are replaced. An empty table gives an empty result.
+
+    Scale: rows are written once with their number, which stays the same however often they are read; windows travel
+    as 44 bytes, are counted with map-side combining, and the repeated hashes, a written table, meet them in a join of
+    two scans that adaptive execution broadcasts by measured size or splits where a window is in a third of all
+    documents. Texts move once, to meet their own row's places.
     """
-    windows = materialise(windows_of(docs, width), "line-windows")
-    first = F.min(F.struct("doc_id", "at")).alias("first")
-    counted = windows.groupBy("hash").agg(first, F.count(F.lit(1)).alias("n"))
+    row = "__line_row"
+    docs = materialise(docs.withColumn(row, F.monotonically_increasing_id()), "line-docs")
+    last = F.coalesce(F.col("doc_id").cast("bigint"), F.lit(2**63 - 1))
+    windows = materialise(windows_of(docs.select(row, last, F.col("text").cast("string")), width), "line-windows")
+    place = F.struct("id", "text_key", "row", "at")
+    counted = windows.groupBy("hash").agg(F.min(place).alias("first"), F.count(F.lit(1)).alias("n"))
     repeated = materialise(counted.filter("n > 1").select("hash", "first"), "line-repeats")
-    later = windows.join(repeated, "hash").filter(F.struct("doc_id", "at") > F.col("first"))
-    starts = later.groupBy(F.col("doc_id").alias("__line_doc")).agg(F.sort_array(F.collect_set("at")).alias("__line_starts"))
+    later = windows.join(repeated, "hash").filter(place > F.col("first"))
+    starts = later.groupBy(F.col("row").alias("__line_of")).agg(F.sort_array(F.collect_set("at")).alias("__line_starts"))
     new = ("n_removed_lines", "n_removed_words", "n_words_before")
     kept = docs.select([c for c in docs.columns if c not in new])
     at = kept.columns.index("text")
-    joined = kept.join(starts, F.col("doc_id").cast("bigint") == F.col("__line_doc"), "left").drop("__line_doc")
-    schema = kept.schema
+    joined = kept.join(starts, F.col(row) == F.col("__line_of"), "left").drop(row, "__line_of")
+    schema = kept.drop(row).schema
     for name in new:
         schema = schema.add(name, "long")
     if schema["text"].dataType.simpleString() != "string":

@@ -486,3 +486,10 @@ def test_url_filter_on_many_linked_hosts(spark):
     near = np.abs(d - t) < 2e-3 * (d + t)
     wrong = np.array([r["verdict"] for r in got]) != verdict
     assert not (wrong & ~near).any() and len(set(verdict[(good == 0) & (bad == 0)])) == 2
+
+
+def test_line_dedup_tells_rows_of_one_doc_id_apart(spark):
+    rows = [(1, "a\nb\nc\nd"), (2, "x\na\nb\nc\ny"), (2, "own1\nown2\nown3\nown4\nown5"), (3, "p\nq\nr"), (3, "p\nq\nr"), (None, "n\na\nb\nc"), (None, "u\nv\nw")]
+    out = dedupe_lines(spark.createDataFrame(rows, "doc_id bigint, text string").repartition(3))
+    got = sorted(((r["doc_id"] or 9, r["text"]) for r in out.collect()))
+    assert got == [(1, rows[0][1]), (2, rows[2][1]), (2, "x\ny"), (3, ""), (3, "p\nq\nr"), (9, "n"), (9, "u\nv\nw")]
