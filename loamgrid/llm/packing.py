@@ -12,9 +12,9 @@ from __future__ import annotations
 
 import bisect
 import json
-import re
-import unicodedata
+import sys
 import zlib
+from array import array
 from dataclasses import dataclass, field
 from itertools import chain
 
@@ -51,18 +51,22 @@ class TextIds:
 class WordIds(TextIds):
     """The same for byte-pair vocabularies over lower-case words with word ends, many words at a time.
 
-    Words that a batch brings anew are merged together in arrays: all words of one length have their lowest-ranked,
-    leftmost pair merged in each round, which is what the library does word by word. Texts with special tokens, with
-    characters that Python and the library treat differently, and very long words go to the library.
+    ASCII words that a batch brings anew are merged together in arrays: all words of one length have their
+    lowest-ranked, leftmost pair merged in each round, which is what the library does word by word. Other words go to
+    the library, since its Unicode tables are not Python's, as do very long ones, and as a whole texts that may have
+    special tokens, letters whose lower case depends on their neighbours, or characters that only Python takes for
+    white space.
     """
 
     NORMALIZERS = ["NFC", "Replace", "Lowercase"]
-    ODD = re.compile("[\x1c-\x1f\u03a3]|<\\|(?:start|end)oftext\\|>")
+    ODD = ("<|", "\u03a3", "\x1c", "\x1d", "\x1e", "\x1f")
 
     @classmethod
     def fits(cls, spec: dict) -> bool:
         steps = [x.get("type") for x in (spec.get("normalizer") or {}).get("normalizers", [])]
         split = [x.get("type") for x in (spec.get("pre_tokenizer") or {}).get("pretokenizers", [])]
+        if sys.byteorder != "little" or array("I").itemsize != 4:
+            return False
         special = {x["content"] for x in spec.get("added_tokens", [])} <= {"<|startoftext|>", "<|endoftext|>"}
         ends = spec["model"].get("end_of_word_suffix") == "</w>" and not spec["model"].get("ignore_merges")
         return steps == cls.NORMALIZERS and split == ["Split", "ByteLevel"] and special and ends
@@ -131,14 +135,17 @@ class WordIds(TextIds):
 
     def learn(self, words: list[str]) -> None:
         """Put the ids of new words into the cache."""
-        cut = [self.parts((w if w.isascii() else unicodedata.normalize("NFC", w)).lower()) for w in words]
+        plain, other = [w for w in words if w.isascii()], [w for w in words if not w.isascii()]
+        cut = [self.parts(w.lower()) for w in plain]
         ids = self.merge(list(set(chain.from_iterable(cut))))
-        self.cache.update((w, b"".join([ids[p] for p in own])) for w, own in zip(words, cut))
+        self.cache.update((w, b"".join([ids[p] for p in own])) for w, own in zip(plain, cut))
+        found = self.tokenizer.encode_batch(other, add_special_tokens=False)
+        self.cache.update((w, array("I", x.ids).tobytes()) for w, x in zip(other, found))
 
     def of(self, texts: list[str]) -> list[bytes]:
         if len(self.cache) > CACHE_WORDS:
             self.cache, self.older = {}, self.cache
-        cut = [None if self.ODD.search(t) else t.split() for t in texts]
+        cut = [None if any(mark in t for mark in self.ODD) else t.split() for t in texts]
         new = [w for w in set(chain.from_iterable(filter(None, cut))) if w not in self.cache]
         self.cache.update((w, self.older[w]) for w in new if w in self.older)
         self.learn([w for w in new if w not in self.cache])

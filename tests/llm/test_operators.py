@@ -89,6 +89,59 @@ def test_packing(spark, sf_dir, rows, odd):
     assert packing.text_ids("byte_bpe_50k.json").of(["a b"]) != []
 
 
+def test_ids_of_all_code_points():
+    words = packing.text_ids(packing.TOKENIZER)
+    assert isinstance(words, packing.WordIds)
+    points = [chr(c) for c in range(0x110000) if not 0xD800 <= c < 0xE000]
+    for at in range(0, len(points), 1 << 15):
+        texts = [f"{c} Ab{c}Cd" for c in points[at : at + (1 << 15)]]
+        want = words.tokenizer.encode_batch(texts, add_special_tokens=False)
+        assert [np.frombuffer(x, "<u4").tolist() for x in words.of(texts)] == [w.ids for w in want]
+
+
+def plain_two_fit(lengths, most):
+    """Bin after bin: fill with the longest that fit, then swap the smallest for the two that leave the least gap."""
+    left, bins = sorted(lengths, reverse=True), []
+    while left:
+        bin_, gap = [], most
+        while (fits := [x for x in left if x <= gap]) and gap:
+            bin_.append(fits[0])
+            left.remove(fits[0])
+            gap -= fits[0]
+        if gap and len(bin_) > 1:
+            out = min(bin_)
+            sums = [a + b for i, a in enumerate(left) for b in left[i + 1 :] if a + b <= gap + out]
+            if max([x for x in left if x <= gap + out] + sums, default=0) > out:
+                best = max([*sums, *[x for x in left if x <= gap + out]])
+                if best > out and best in sums:
+                    bin_.remove(out)
+                    left.append(out)
+                    a, b = next((a, b) for i, a in enumerate(left) for b in left[i + 1 :] if a + b == best)
+                    bin_ += [a, b]
+                    left.remove(a)
+                    left.remove(b)
+                    left.sort(reverse=True)
+        bins.append(bin_)
+    return bins
+
+
+@pytest.mark.parametrize("seed", range(3))
+def test_packing_against_bin_by_bin(seed):
+    rng = random.Random(seed)
+    for _ in range(60):
+        lengths = [rng.randint(1, 40) for _ in range(rng.randint(1, 120))]
+        counts = {k: lengths.count(k) for k in set(lengths)}
+        patterns = packing.best_two_fit(counts, 40)
+        spans = []
+        for k, n in counts.items():
+            at, offsets = packing.place(np.full(n, k), np.arange(n), patterns)
+            spans += [{"sequence_id": b, "offset": o, "length": k} for b, o in zip(at.tolist(), offsets.tolist())]
+        held = packed_whole(spans, 40)
+        assert len(held) == patterns.n_bins == len(plain_two_fit(lengths, 40))
+        fills = lambda bins: sorted(sum(b) for b in bins)
+        assert fills([[n for _, n in b] for b in held.values()]) == fills(plain_two_fit(lengths, 40))
+
+
 def test_best_two_fit():
     """Greedy takes 6 and 3 of 10; the 3 gives way to 2 and 2."""
     patterns = packing.best_two_fit({6: 1, 3: 1, 2: 2}, 10)
