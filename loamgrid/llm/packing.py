@@ -139,7 +139,7 @@ class WordIds(TextIds):
         cut = [self.parts(w.lower()) for w in plain]
         ids = self.merge(list(set(chain.from_iterable(cut))))
         self.cache.update((w, b"".join([ids[p] for p in own])) for w, own in zip(plain, cut))
-        found = self.tokenizer.encode_batch(other, add_special_tokens=False)
+        found = self.tokenizer.encode_batch_fast(other, add_special_tokens=False)
         self.cache.update((w, array("I", x.ids).tobytes()) for w, x in zip(other, found))
 
     def of(self, texts: list[str]) -> list[bytes]:
