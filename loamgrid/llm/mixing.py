@@ -1,16 +1,20 @@
 """Mixing sources to target weights by Sainte-Laguë apportionment.
 
 Tokens are allocated to sources by highest quotients, all but the last of them at once; the awards, dealt in turn
-to the shards, give each shard integer quotas, which no row is given to; each source then serves its tokens from a seeded order of its documents.
+to the shards, give each shard an integer quota of each source. A source's tokens, along a seeded order of its
+documents, are cut into equal blocks, and the blocks, in a seeded order of their own, fill the shards' quotas one after
+the other.
 """
 
 from __future__ import annotations
 
 import heapq
 import math
+import random
 from dataclasses import dataclass
+from itertools import accumulate
 
-from pyspark.sql import DataFrame
+from pyspark.sql import Column, DataFrame
 from pyspark.sql import functions as F
 
 from loamgrid.llm.common import materialise, running_before
@@ -19,6 +23,10 @@ from loamgrid.llm.common import materialise, running_before
 MAX_BLOCKS = 1 << 16
 #: Sources whose table is sent to all tasks; with more it is joined by a shuffle.
 MOST_BROADCAST = 50_000
+#: Sources that the driver plans for at most, a row each; a table with more is refused.
+MOST_SOURCES = 2_000_000
+#: Words of a block.
+BLOCK_WORDS = 1024
 
 
 @dataclass(frozen=True)
@@ -91,21 +99,59 @@ def plan_mix(totals: list[tuple[str | None, int]], weights: tuple[float, ...], m
     return Plan(1, [(n, s, g, sum(q), q) for (n, s), g, q in zip(totals, goals, quotas)])
 
 
+def block_order(name: str | None, quota: int, words: int, seed: int) -> tuple[int, int]:
+    """(a, c): block b of the source comes as number (a * b + c) mod blocks; a and the number of blocks share no factor."""
+    blocks, rng = max(1, -(-quota // words)), random.Random(f"{seed}:{name}")
+    a = rng.randrange(1 << 19, 1 << 20)
+    while math.gcd(a, blocks) > 1:
+        a += 1
+    return a % blocks, rng.randrange(blocks)
+
+
+def served_pieces(words: int) -> Column:
+    """array<struct<at, n>>: where the words of a document that the quota serves lie once the blocks are in order.
+
+    From the columns start, size, source_size, quota, and a, c, n_blocks of the order. The last block is shorter; those
+    that come after it move up.
+    """
+    number = lambda b: f"((a * ({b}) + c) % n_blocks)"
+    moved = f"if({number('b')} > {number('n_blocks - 1')}, n_blocks * {words} - quota, 0L)"
+    low, high = f"greatest(x.lo, b * {words})", f"least(x.hi, (b + 1) * {words})"
+    piece = f"named_struct('at', {number('b')} * {words} + {low} - b * {words} - {moved}, 'n', {high} - {low})"
+    laps = "sequence(0L, quota div greatest(source_size, 1L))"
+    lap = "named_struct('lo', k * source_size + start, 'hi', least(quota, k * source_size + start + size))"
+    blocks = f"transform(sequence(x.lo div {words}, (x.hi - 1) div {words}), b -> {piece})"
+    return F.expr(f"flatten(transform(filter(transform({laps}, k -> {lap}), x -> x.hi > x.lo), x -> {blocks}))")
+
+
+def shard_words() -> Column:
+    """array<bigint>: how many of the words in ``pieces`` lie between each two of ``ends``."""
+    overlap = "greatest(0L, least(p.at + p.n, ends[j + 1]) - greatest(p.at, ends[j]))"
+    return F.expr(f"transform(sequence(0, size(ends) - 2), j -> aggregate(pieces, 0L, (s, p) -> s + {overlap}))")
+
+
 def mix_documents(
-    docs: DataFrame, weights: tuple[float, ...] = (5, 2, 1), most: int = 3, n_shards: int = 16, seed: int = 17
-) -> DataFrame:
-    """One row per row of ``docs`` (doc_id, text, source): source, size, source_size, target, taken, start, quota.
+    docs: DataFrame, weights: tuple[float, ...] = (5, 2, 1), most: int = 3, n_shards: int = 16, seed: int = 17,
+    block_words: int = BLOCK_WORDS,
+) -> DataFrame:
+    """One row per row of ``docs`` (doc_id, text, source): source, size, source_size, target, taken, start, quota,
+    shard_taken.
 
     Size is the number of words (runs other than 0x20 and 0x09-0x0D; none in a null text). A source's documents,
     ordered by a seeded hash, form a cycle of tokens; its quota is cut from the cycle's start, so ``taken``, the
     words of a document within it, sums to exactly the quota per source, a word or two from its target however
-    small the source is, and never exceeds ``most`` times the document's size. ``start`` is the document's place in the cycle, ``quota`` the source's tokens. A null source is
+    small the source is, and never exceeds ``most`` times the document's size. ``start`` is the document's place in
+    the cycle, ``quota`` the source's tokens. The quota's tokens, cut into blocks of ``block_words`` (the last may be
+    shorter), fill the shards in a seeded order of the blocks, each up to its quota of the source; a block at a border
+    is split. ``shard_taken`` has the words that each of the ``n_shards`` shards takes of the document; they sum to
+    ``taken``, all shards get equally many words, but for one, and each source's in the same shares. A null source is
     a source; a document without words is kept with taken 0; repeated rows are served each; ties of the hash fall
     back to doc_id and size; an empty table gives an empty result.
 
     Scale: texts are read once, for counts. The driver gets one row per source (a dimension of the corpus, not its
-    rows) and awards about one seat a source and MAX_BLOCKS more one by one. Starts are prefix sums over a range partitioning by (source,
-    hash), so that a source with a third of all rows is spread over many tasks.
+    rows; more than MOST_SOURCES are an error) and awards about one seat a source and MAX_BLOCKS more one by one.
+    Starts are prefix sums over a range partitioning by (source, hash), so that a source with a third of all rows is
+    spread over many tasks; where its blocks go follows from their numbers alone, without a sort of blocks.
     """
     spark = docs.sparkSession
     counted = materialise(
@@ -116,18 +162,28 @@ def mix_documents(
         ),
         "mix-sizes",
     )
-    found = counted.groupBy("source").agg(F.sum("size").alias("n")).collect()
+    found = counted.groupBy("source").agg(F.sum("size").alias("n")).limit(MOST_SOURCES + 1).collect()
+    if len(found) > MOST_SOURCES:
+        raise ValueError(f"more than {MOST_SOURCES} sources")
     totals = sorted(((r["source"], r["n"]) for r in found), key=lambda x: (x[0] is None, x[0] or ""))
     plan = plan_mix(totals, weights, most, n_shards)
-    rows = [(n, i, s, g, b * plan.block) for i, (n, s, g, b, _) in enumerate(plan.sources)]
-    sources = spark.createDataFrame(rows, "name string, code int, source_size bigint, target double, quota bigint")
-    sources = F.broadcast(sources) if len(rows) <= MOST_BROADCAST else sources
-    coded = counted.join(sources, F.col("source").eqNullSafe(F.col("name"))).drop("name")
+    rows = []
+    for i, (name, size, goal, quota, shares) in enumerate(plan.sources):
+        order = block_order(name, quota, block_words, seed)
+        rows.append((name, i, size, goal, quota, *order, max(1, -(-quota // block_words)), [0, *accumulate(shares)]))
+    schema = "name string, code int, source_size bigint, target double, quota bigint, a bigint, c bigint, n_blocks bigint, ends array<bigint>"
+    sources = spark.createDataFrame(rows, schema)
+    few = len(rows) <= MOST_BROADCAST
+    own = F.broadcast(sources.drop("a", "c", "n_blocks", "ends")) if few else sources.drop("a", "c", "n_blocks", "ends")
+    coded = counted.join(own, F.col("source").eqNullSafe(F.col("name"))).drop("name")
     spread = F.xxhash64(F.lit(seed), F.col("doc_id"), F.col("size"))
     ranged = coded.withColumn("_h", spread).repartitionByRange("code", "_h", "doc_id")
     held = materialise(ranged, "mix-order", with_pid=True)
     out = running_before(held, ["code"], [F.col("_h"), F.col("doc_id"), F.col("size")], F.col("size"), "start")
-    laps = F.floor(F.col("quota") / F.greatest(F.col("source_size"), F.lit(1))).cast("bigint")
-    rest = F.col("quota") - laps * F.col("source_size")
-    part = F.greatest(F.lit(0), F.least(F.col("size"), rest - F.col("start")))
-    return out.withColumn("taken", (laps * F.col("size") + part).cast("bigint")).drop("pid", "_h", "code")
+    orders = sources.select("code", "a", "c", "n_blocks", "ends")
+    out = out.join(F.broadcast(orders) if few else orders, "code")
+    out = out.withColumn("pieces", served_pieces(block_words)).withColumn("shard_taken", shard_words())
+    taken = F.aggregate("shard_taken", F.lit(0).cast("bigint"), lambda s, n: s + n)
+    return out.withColumn("taken", taken).select(
+        "doc_id", "source", "size", "source_size", "target", "quota", "start", "taken", "shard_taken"
+    )

@@ -69,7 +69,9 @@ def op8_chunked_media(spark: SparkSession, sf_dir: str) -> DataFrame:
 
 def op9_sainte_lague_mixing(spark: SparkSession, sf_dir: str) -> DataFrame:
     out = mix_documents(table(spark, sf_dir, "documents"))
-    return out.select("doc_id", "size", "source_size", "target", "taken", "source")
+    some = "filter(transform(shard_taken, (n, j) -> if(n > 0, concat(j, ':', n), null)), x -> x is not null)"
+    shards = F.array_join(F.expr(some), ",").alias("shards")
+    return out.select("doc_id", "size", "source_size", "target", "taken", "source", shards)
 
 
 def op10_link_graph_url_filter(spark: SparkSession, sf_dir: str) -> DataFrame:

@@ -324,6 +324,52 @@ def test_mixing(spark, sf_dir, rows):
     assert all(abs(goals[s] - taken[s]) <= 2 * block for s in goals)
 
 
+@pytest.mark.parametrize("n_shards, block", [(1, 7), (5, 1), (5, 64), (16, 1024)])
+def test_mixing_against_words_dealt_one_by_one(spark, n_shards, block):
+    rng = random.Random(n_shards)
+    size = lambda: rng.choice([0, 1, 3, 40, 300])
+    docs = [(i, " w" * size(), rng.choice(["hot"] * 6 + ["a", "b", None])) for i in range(150)] + [(7, "again", "a")] * 2 + [(200, None, "empty")]
+    table = spark.createDataFrame(docs, "doc_id bigint, text string, source string").repartition(5)
+    out = mixing.mix_documents(table, n_shards=n_shards, block_words=block).collect()
+    again = mixing.mix_documents(table.repartition(3), n_shards=n_shards, block_words=block).collect()
+    assert sorted(out, key=repr) == sorted(again, key=repr) and len(out) == len(docs)
+    totals = sorted({(r["source"], r["source_size"]) for r in out}, key=lambda x: (x[0] is None, x[0] or ""))
+    shard_sums = [sum(r["shard_taken"][j] for r in out) for j in range(n_shards)]
+    assert max(shard_sums) - min(shard_sums) <= 1 and sum(shard_sums) == sum(n for _, n in totals)
+    for name, n, goal, quota, shares in mixing.plan_mix(totals, (5, 2, 1), 3, n_shards).sources:
+        rows = sorted((r for r in out if r["source"] == name and r["size"]), key=lambda r: r["start"])
+        cycle = [k for k, r in enumerate(rows) for _ in range(r["size"])]
+        assert len(cycle) == n and [r["start"] for r in rows] == [cycle.index(k) for k in range(len(rows))]
+        served = (cycle * 4)[:quota]
+        blocks = [served[i : i + block] for i in range(0, quota, block)]
+        a, c = mixing.block_order(name, quota, block, 17)
+        places = [(a * b + c) % len(blocks) for b in range(len(blocks))]
+        assert sorted(places) == list(range(len(blocks)))
+        line = [k for _, b in sorted(zip(places, range(len(blocks)))) for k in blocks[b]]
+        want, at = [[0] * n_shards for _ in rows], 0
+        for j, q in enumerate(shares):
+            for k in line[at : at + q]:
+                want[k][j] += 1
+            at += q
+        assert [r["shard_taken"] for r in rows] == want and [r["taken"] for r in rows] == list(map(sum, want))
+
+
+def test_sainte_lague_against_plain_quotients():
+    rng = random.Random(8)
+    for _ in range(100):
+        goals = [rng.random() * 50 for _ in range(rng.randint(1, 6))]
+        most = [rng.randint(0, 40) for _ in goals]
+        seats, won, plain = rng.randint(0, 60), [0] * len(goals), []
+        for _ in range(seats):
+            open_ = [i for i in range(len(goals)) if won[i] < most[i] and goals[i] > 0]
+            if not open_:
+                break
+            i = max(open_, key=lambda i: (goals[i] / (2 * won[i] + 1), -i))
+            won[i] += 1
+            plain.append(i)
+        assert mixing.sainte_lague(goals, seats, most) == plain
+
+
 def test_apportionment():
     assert mixing.targets([10, 100, 100], [5, 2, 1], 210, 3) == [30, 120, 60]
     goals, most = [53.0, 24.0, 23.0], [99, 99, 99]
