@@ -297,6 +297,45 @@ def test_sharding(spark, sf_dir, rows, odd):
     assert len(sizes) == 8 and max(sizes) < 1.1 * sum(sizes) / 8
 
 
+def test_sharding_against_group_by_group(spark):
+    """The groups themselves, sorted by size, each into the tightest shard: the same bytes in every shard."""
+    docs = spark.read.parquet("/root/testdata/sf0.01/documents.parquet")
+    out = sharding.shard_documents(docs, 8).collect()
+    groups, held = {}, {}
+    for r in docs.collect():
+        groups[r["text"]] = groups.get(r["text"], 0) + len(r["text"].encode()) + 1
+    sizes = sorted(groups.values(), reverse=True)
+    capacity, _ = sharding.least_capacity([(n, 1) for n in sizes], 8)
+    plain, left = [], []
+    for n in sizes:
+        fits = [(room, b) for b, room in enumerate(left) if room >= n]
+        b = min(fits)[1] if fits else len(left)
+        if not fits:
+            left.append(capacity)
+            plain.append(0)
+        left[b] -= n
+        plain[b] += n
+    for r in out:
+        held[r["shard"]] = held.get(r["shard"], 0) + r["size"]
+    assert len(plain) <= 8 and sorted(held.values()) == sorted(plain)
+
+
+def test_size_classes(spark):
+    sizes = [1, sharding.EXACT_SIZE, sharding.EXACT_SIZE + 1, 12_345_678, 2**40 + 1, 2**41 - 1]
+    got = [r[0] for r in spark.createDataFrame([(n,) for n in sizes], "n bigint").select(sharding.size_class(F.col("n"))).collect()]
+    assert got[:2] == sizes[:2] and all(n <= c <= n * (1 + 2.0**-10) for n, c in zip(sizes, got))
+    assert all(c % 2 ** (c.bit_length() - sharding.SIZE_BITS - 1) == 0 for c in got[2:])
+
+
+@pytest.mark.parametrize("seed", range(3))
+def test_counts_fill_as_items_do(seed):
+    rng = random.Random(seed)
+    sizes = sorted((rng.choice([1, 2, 3, 17, 40, 41, 90]) for _ in range(200)), reverse=True)
+    units = [(n, sizes.count(n)) for n in sorted(set(sizes), reverse=True)]
+    loose = [b for own in sharding.fill_counts(units, 120) for b, n in own for _ in range(n)]
+    assert loose == sharding.best_fit_decreasing(sizes, 120)
+
+
 def test_best_fit_decreasing():
     random.seed(2)
     sizes = sorted((random.randint(1, 60) for _ in range(300)), reverse=True)
