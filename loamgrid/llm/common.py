@@ -2,6 +2,7 @@
 
 from __future__ import annotations
 
+import re
 import sys
 import types
 from collections.abc import Iterator
@@ -11,10 +12,15 @@ from pyspark.sql import DataFrame, SparkSession
 
 from loamgrid.operators.numbering import discard, materialise, running_before, scratch_root
 
-__all__ = ["discard", "materialise", "running_before", "scratch_root", "slices", "spread", "table", "worker_wide"]
+__all__ = [
+    "discard", "materialise", "running_before", "scratch_root", "slices", "stable_rows", "table", "word_parts", "worker_wide",
+]
 
 #: Rows that a Python function holds as objects at a time.
 SLICE_ROWS = 256
+#: Characters of a text whose words are objects at a time.
+PART_CHARS = 1 << 20
+_BLANK = re.compile("[ \t\n\x0b\x0c\r]+")
 
 
 def table(spark: SparkSession, sf_dir: str, name: str) -> DataFrame:
@@ -28,10 +34,33 @@ def slices(batches: Iterator[pa.RecordBatch], rows: int = SLICE_ROWS) -> Iterato
             yield batch.slice(at, rows)
 
 
-def spread(scan: DataFrame) -> DataFrame:
-    """A scan of fewer tasks than the cluster has cores, such as of one small file, dealt to as many; else as it is."""
-    cores = scan.sparkSession.sparkContext.defaultParallelism
-    return scan.repartition(cores) if scan.rdd.getNumPartitions() < cores else scan
+def word_parts(text: str, lower: bool = False) -> Iterator[list[bytes]]:
+    """The words of a text, runs other than 0x20 and 0x09-0x0D in UTF-8, of about PART_CHARS characters at a time.
+
+    A long text's words thus never are objects all at once. ``lower`` turns A-Z into a-z.
+    """
+    most, at = PART_CHARS, 0
+    while len(text) - at > most:
+        gap = _BLANK.search(text, at + most)
+        if gap is None:
+            break
+        raw = text[at : gap.start()].encode("utf-8", "surrogatepass")
+        yield (raw.lower() if lower else raw).split()
+        at = gap.end()
+    raw = (text[at:] if at else text).encode("utf-8", "surrogatepass")
+    yield (raw.lower() if lower else raw).split()
+
+
+def stable_rows(df: DataFrame, name: str) -> DataFrame:
+    """``df`` in a form that has the same rows in the same partitions however often it is read.
+
+    A projection of files is so as it stands; anything else is written first.
+    """
+    plan = df._jdf.queryExecution().optimizedPlan()
+    nodes = [line.lstrip(" :+-") for line in plan.toString().splitlines()]
+    if plan.deterministic() and all(n.startswith(("Project [", "Filter (", "Relation [")) for n in nodes if n):
+        return df
+    return materialise(df, name)
 
 
 def worker_wide(name: str, make):

@@ -7,48 +7,68 @@ the first occurrence are removed, the positions that overlapping windows cover b
 from __future__ import annotations
 
 import hashlib
+from collections import deque
+from collections.abc import Iterator
 
 import pyarrow as pa
 from pyspark.sql import DataFrame
 from pyspark.sql import functions as F
 
-from loamgrid.llm.common import materialise, slices
+from loamgrid.llm.common import materialise, slices, word_parts
 
 WINDOW = 3
 #: White space within a line; other characters count as words.
 BLANKS = " \t\x0b\x0c\r"
+#: Windows that a task holds as objects at a time.
+BATCH_WINDOWS = 1 << 16
 
 
-def worded_lines(text: str) -> list[tuple[int, str]]:
-    """(number, line without surrounding blanks) of the lines that have more than blanks."""
-    return [(i, s) for i, line in enumerate(text.split("\n")) if (s := line.strip(BLANKS))]
+def lines_of(text: str) -> Iterator[tuple[int, int, str]]:
+    """(start, end, text without surrounding blanks) of each line; nothing of a text is held but one line."""
+    at = 0
+    while at >= 0:
+        end = text.find("\n", at)
+        stop = len(text) if end < 0 else end
+        yield at, stop, text[at:stop].strip(BLANKS)
+        at = -1 if end < 0 else end + 1
 
 
-def window_hashes(text: str, width: int = WINDOW) -> list[bytes]:
+def window_hashes(text: str, width: int = WINDOW) -> Iterator[bytes]:
     """A 128-bit hash for each ``width`` consecutive lines with words; none in a shorter text."""
-    lines = [s.encode("utf-8", "surrogatepass") for _, s in worded_lines(text)]
-    join = lambda i: b"\n".join(lines[i : i + width])
-    return [hashlib.blake2b(join(i), digest_size=16).digest() for i in range(len(lines) - width + 1)]
+    held: deque[bytes] = deque(maxlen=width)
+    for _, _, line in lines_of(text):
+        if line:
+            held.append(line.encode("utf-8", "surrogatepass"))
+            if len(held) == width:
+                yield hashlib.blake2b(b"\n".join(held), digest_size=16).digest()
 
 
 def without_windows(text: str, starts: list[int], width: int = WINDOW) -> tuple[str, int, int]:
     """(text without the lines that the windows at these starts cover, lines removed, words removed).
 
-    A line without words goes with the line before it.
+    ``starts`` are sorted. A line without words goes with the line before it.
     """
-    lines = text.split("\n")
-    numbers = [i for i, _ in worded_lines(text)]
-    covered = {numbers[k] for at in starts for k in range(at, min(at + width, len(numbers)))}
-    keep, gone, words, drop = [], 0, 0, False
-    worded = set(numbers)
-    for i, line in enumerate(lines):
-        if i in worded:
-            drop = i in covered
-            gone += drop
-            words += len(line.encode("utf-8", "surrogatepass").split()) if drop else 0
-        if not drop:
-            keep.append(line)
-    return "\n".join(keep), gone, words
+    keep, gone, words, drop, kept_from = [], 0, 0, False, 0
+    number, next_, until = -1, 0, 0
+    for at, _, line in lines_of(text):
+        if line:
+            number += 1
+            while next_ < len(starts) and starts[next_] <= number:
+                until = starts[next_] + width
+                next_ += 1
+            now = number < until
+            if now:
+                gone += 1
+                words += sum(map(len, word_parts(line)))
+            if now and not drop:
+                keep.append(text[kept_from:at])
+            elif drop and not now:
+                kept_from = at
+            drop = now
+    if not drop:
+        keep.append(text[kept_from:])
+        return "".join(keep), gone, words
+    return "".join(keep)[:-1] if keep else "", gone, words
 
 
 def text_key(text: str) -> int:
@@ -59,18 +79,25 @@ def text_key(text: str) -> int:
 def windows_of(rows: DataFrame, width: int) -> DataFrame:
     """(hash, id, text_key, row, at) of every window of rows (row, id, text)."""
 
+    names = ["hash", "id", "text_key", "row", "at"]
+
+    def batch_of(found):
+        hashes, ids, keys, numbers, places = zip(*found)
+        columns = [pa.array(hashes, pa.binary()), *(pa.array(x, pa.int64()) for x in (ids, keys, numbers)), pa.array(places, pa.int32())]
+        return pa.RecordBatch.from_arrays(columns, names=names)
+
     def run(batches):
+        found = []
         for batch in slices(batches):
-            hashes, ids, keys, numbers, places = [], [], [], [], []
             for number, id_, text in zip(*(batch.column(i).to_pylist() for i in range(3))):
-                found = window_hashes(text or "", width)
-                hashes += found
-                ids += [id_] * len(found)
-                keys += [text_key(text)] * len(found) if found else []
-                numbers += [number] * len(found)
-                places += range(len(found))
-            columns = [pa.array(hashes, pa.binary()), *(pa.array(x, pa.int64()) for x in (ids, keys, numbers)), pa.array(places, pa.int32())]
-            yield pa.RecordBatch.from_arrays(columns, names=["hash", "id", "text_key", "row", "at"])
+                key = text_key(text) if text else 0
+                for at, window in enumerate(window_hashes(text or "", width)):
+                    found.append((window, id_, key, number, at))
+                    if len(found) >= BATCH_WINDOWS:
+                        yield batch_of(found)
+                        found = []
+        if found:
+            yield batch_of(found)
 
     return rows.mapInArrow(run, "hash binary, id bigint, text_key bigint, row bigint, at int")
 
@@ -118,7 +145,7 @@ def dedupe_lines(docs: DataFrame, width: int = WINDOW) -> DataFrame:
                 texts.append(cleaned)
                 lines.append(n)
                 words.append(w)
-                before.append(len((text or "").encode("utf-8", "surrogatepass").split()))
+                before.append(sum(map(len, word_parts(text or ""))))
             columns = list(batch.columns[:-1])
             columns[at] = pa.array(texts, pa.string())
             columns += [pa.array(x, pa.int64()) for x in (lines, words, before)]

@@ -16,7 +16,7 @@ import pyarrow as pa
 from pyspark.sql import DataFrame
 from pyspark.sql import functions as F
 
-from loamgrid.llm.common import materialise, slices
+from loamgrid.llm.common import materialise, slices, stable_rows
 
 #: The payload's unit: it is padded with bytes 0 to a positive multiple.
 UNIT = 64
@@ -205,14 +205,15 @@ class MediaStore:
 def store_media(docs: DataFrame, cuts: Cuts = Cuts()) -> MediaStore:
     """Write the payloads of ``docs`` (doc_id, text; null: empty) as deduplicated chunks into the shared scratch folder.
 
-    ``docs`` must give the same rows in the same partitions both times it is read, as a scan of files does; materialise
-    anything else first. Otherwise chunks may be found missing on reading back, which raises.
+    Rows are read twice and must come in the same partitions both times, as those of files do; anything else is
+    written first (``stable_rows``).
 
     Scale: texts are read twice, first for digests, then for the frames (zstandard) that tasks offer. Each digest's
     least place owns it; the other offers, a small share, and owners used both ways are noted by place and met by
     a join, so that payloads need not move where the notes are small by measured size, and move once otherwise. Hot
     chunks are cheap: a task offers a digest once.
     """
+    docs = stable_rows(docs.select("doc_id", "text"), "media-docs")
     refs = materialise(chunk_documents(docs, cuts, with_frames=False), "media-refs")
     several = F.col("n_chunks") > 1
     used = refs.groupBy("digest").agg(F.max(several).alias("listed"), F.max(~several).alias("whole"))

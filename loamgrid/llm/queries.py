@@ -5,7 +5,7 @@ from __future__ import annotations
 from pyspark.sql import DataFrame, SparkSession
 from pyspark.sql import functions as F
 
-from loamgrid.llm.common import spread, table
+from loamgrid.llm.common import table
 from loamgrid.llm.license_scan import scan_licenses
 from loamgrid.llm.line_dedup import dedupe_lines
 from loamgrid.llm.media import media_columns
@@ -20,15 +20,15 @@ from loamgrid.llm.url_filter import filter_urls
 
 
 def op1_best_fit_packing(spark: SparkSession, sf_dir: str) -> DataFrame:
-    return pack_documents(spread(table(spark, sf_dir, "documents").select("doc_id", "text")))
+    return pack_documents(table(spark, sf_dir, "documents").select("doc_id", "text"))
 
 
 def op2_simhash_bk_trees(spark: SparkSession, sf_dir: str) -> DataFrame:
-    return near_duplicates(spread(table(spark, sf_dir, "documents").select("doc_id", "text")))
+    return near_duplicates(table(spark, sf_dir, "documents").select("doc_id", "text"))
 
 
 def op3_importance_resampling(spark: SparkSession, sf_dir: str) -> DataFrame:
-    return resample_documents(spread(table(spark, sf_dir, "documents").select("doc_id", "text")), table(spark, sf_dir, "labels"))
+    return resample_documents(table(spark, sf_dir, "documents").select("doc_id", "text"), table(spark, sf_dir, "labels"))
 
 
 def op4_line_window_dedup(spark: SparkSession, sf_dir: str) -> DataFrame:
@@ -43,7 +43,7 @@ def op4_line_window_dedup(spark: SparkSession, sf_dir: str) -> DataFrame:
 
 
 def op5_line_first_cleaning(spark: SparkSession, sf_dir: str) -> DataFrame:
-    return judge_documents(spread(table(spark, sf_dir, "documents").select("doc_id", "text"))).drop("clean_text")
+    return judge_documents(table(spark, sf_dir, "documents").select("doc_id", "text")).drop("clean_text")
 
 
 def op6_license_sentence_rules(spark: SparkSession, sf_dir: str) -> DataFrame:

@@ -17,7 +17,7 @@ import xxhash
 from pyspark.sql import DataFrame
 from pyspark.sql import functions as F
 
-from loamgrid.llm.common import materialise, running_before, slices
+from loamgrid.llm.common import materialise, running_before, slices, word_parts
 
 #: Labelled target documents that the target model is fitted on at most (those of the least seeded hashes).
 MAX_TARGET_DOCS = 20_000
@@ -57,9 +57,15 @@ def buckets(words: list[bytes], hashes: WordHashes, bits: int = BUCKET_BITS) ->
 
 def parts(text: str | None):
     """The words of a text in runs that overlap by one word, so that no pair is lost or counted twice."""
-    words = (text or "").encode("utf-8", "surrogatepass").split()
-    for at in range(0, len(words), PART_WORDS):
-        yield words[at : at + PART_WORDS], words[at + PART_WORDS : at + PART_WORDS + 1]
+    held: list[bytes] = []
+    for words in word_parts(text or ""):
+        for at in range(0, len(words), PART_WORDS):
+            now = words[at : at + PART_WORDS]
+            if held:
+                yield held, now[:1]
+            held = now
+    if held:
+        yield held, []
 
 
 def gumbel(doc_id: int | None, seed: int) -> float:

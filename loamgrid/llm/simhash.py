@@ -9,6 +9,7 @@ together they hold every fingerprint and so grow with the corpus.
 
 from __future__ import annotations
 
+from collections.abc import Iterable, Iterator
 from itertools import combinations
 
 import numpy as np
@@ -17,7 +18,7 @@ import xxhash
 from pyspark.sql import Column, DataFrame
 from pyspark.sql import functions as F
 
-from loamgrid.llm.common import discard, materialise, slices
+from loamgrid.llm.common import discard, materialise, slices, word_parts
 
 SEED = 42
 SHINGLE = 3
@@ -28,24 +29,28 @@ MAX_RADIUS = 6
 COUNT_ROWS = 1 << 16
 
 
-def shingle_hashes(text: str, width: int = SHINGLE) -> list[int]:
-    words = text.encode("utf-8", "surrogatepass").lower().split()
-    if not words:
-        return []
-    digest = xxhash.xxh64_intdigest
-    if len(words) < width:
-        return [digest(b" ".join(words), SEED)]
-    return [digest(b" ".join(words[i : i + width]), SEED) for i in range(len(words) - width + 1)]
+def shingle_hashes(text: str, width: int = SHINGLE) -> Iterator[list[int]]:
+    """XXH64 of the shingles of lower-cased words, part by part; one of the whole sequence if there are fewer words."""
+    digest, held, some = xxhash.xxh64_intdigest, [], False
+    for part in word_parts(text, lower=True):
+        words = held + part if held else part
+        if len(words) >= width:
+            some = True
+            yield [digest(b" ".join(words[i : i + width]), SEED) for i in range(len(words) - width + 1)]
+        held = words[-(width - 1) :] if width > 1 else []
+    if held and not some:
+        yield [digest(b" ".join(held), SEED)]
 
 
-def fingerprint(hashes: list[int]) -> int:
+def fingerprint(hashes: Iterable[list[int]]) -> int:
     """Bits set in over half the hashes, as a signed 64-bit number; 0 for none."""
-    ones = np.zeros(64, np.int64)
-    for at in range(0, len(hashes), COUNT_ROWS):
-        part = np.array(hashes[at : at + COUNT_ROWS], ">u8")
-        ones += np.unpackbits(part.view(np.uint8).reshape(-1, 8), axis=1).sum(axis=0, dtype=np.int64)
-    bits = np.packbits(2 * ones > len(hashes)) if hashes else np.zeros(8, np.uint8)
-    return int(bits.view(">i8")[0])
+    ones, n = np.zeros(64, np.int64), 0
+    for found in hashes:
+        for at in range(0, len(found), COUNT_ROWS):
+            part = np.array(found[at : at + COUNT_ROWS], ">u8")
+            ones += np.unpackbits(part.view(np.uint8).reshape(-1, 8), axis=1).sum(axis=0, dtype=np.int64)
+        n += len(found)
+    return int(np.packbits(2 * ones > n).view(">i8")[0]) if n else 0
 
 
 def fingerprints(docs: DataFrame) -> DataFrame:

@@ -38,7 +38,7 @@ v AS (
   SELECT doc_id, n, again, CASE
     WHEN {symbols.format("line")} > {rules.max_symbol_share}::DOUBLE * n THEN 'punctuation'
     WHEN len(list_filter(w, lambda x: list_contains({listed(Q.MARK_RUNS)}, right(x, 2)))) > {rules.max_mark_run_share}::DOUBLE * n THEN 'punctuation'
-    WHEN n <= {rules.nav_words} AND NOT ({final}) THEN 'navigation'
+    WHEN n <= {rules.unfinished_words} AND NOT ({final}) THEN CASE WHEN n <= {rules.nav_words} THEN 'navigation' ELSE 'punctuation' END
     WHEN len(list_filter(w, lambda x: list_contains({listed(Q.SEPARATORS)}, x))) >= {rules.nav_separators} THEN 'navigation'
     WHEN n <= {Q.BOILERPLATE_WORDS} AND regexp_matches(line, {quoted('(?i)' + Q.BOILERPLATE)}) THEN 'boilerplate'
     WHEN n >= 10 AND list_max(map_values(list_histogram(w))) > {rules.max_word_share}::DOUBLE * n THEN 'boilerplate'

@@ -3,12 +3,13 @@
 import hashlib
 import random
 import zlib
+from collections import Counter
 
 import numpy as np
 import pytest
 from pyspark.sql import functions as F
 
-from loamgrid.llm import license_scan, media, mixing, packing, quality_rules, resampling, sharding, simhash, url_filter
+from loamgrid.llm import common, license_scan, media, mixing, packing, quality_rules, resampling, sharding, simhash, url_filter
 from loamgrid.llm.line_dedup import dedupe_lines
 from loamgrid.llm.queries import QUERIES
 from tests.llm import brute
@@ -631,3 +632,126 @@ def test_line_dedup_tells_rows_of_one_doc_id_apart(spark):
     out = dedupe_lines(spark.createDataFrame(rows, "doc_id bigint, text string").repartition(3))
     got = sorted(((r["doc_id"] or 9, r["text"]) for r in out.collect()))
     assert got == [(1, rows[0][1]), (2, rows[2][1]), (2, "x\ny"), (3, ""), (3, "p\nq\nr"), (9, "n"), (9, "u\nv\nw")]
+
+
+def test_long_texts_are_read_in_parts(rows, monkeypatch):
+    """The same results however few words are objects at a time."""
+    texts = [t for _, t, *_ in rows] + [t for _, t, *_ in ODD] + ["w" * 50, "a b " * 40 + "\n" + "x\t" * 30, "one\n two \n\n" * 9]
+    rules = quality_rules.LineRules()
+
+    def counts(t):
+        out = Counter()
+        for words, after in resampling.parts(t):
+            out.update(resampling.buckets(words + after, resampling.WordHashes()).tolist())
+            out.subtract(resampling.buckets(after, resampling.WordHashes()).tolist())
+        return {k: n for k, n in out.items() if n}
+
+    prints = lambda: [simhash.fingerprint(simhash.shingle_hashes(t or "")) for t in texts]
+    want = [quality_rules.judge(t, rules) for t in texts], prints(), [counts(t) for t in texts[-30:]]
+    for module in (quality_rules, simhash, resampling):
+        assert module.word_parts is common.word_parts
+    monkeypatch.setattr(common, "PART_CHARS", 7)
+    monkeypatch.setattr(quality_rules, "LONG_TEXT", 1)
+    monkeypatch.setattr(quality_rules, "LONG_LINE", 11)
+    assert [w for t in texts for part in common.word_parts(t or "") for w in part] == [w.encode() for t in texts for w in brute.words(t)]
+    got = [quality_rules.judge(t, rules) for t in texts], prints(), [counts(t) for t in texts[-30:]]
+    assert got == want
+
+
+def test_a_text_of_many_megabytes():
+    """Memory beyond the text itself stays a small multiple of it."""
+    import tracemalloc
+
+    line = " ".join(f"word{i % 9973}x{i}" for i in range(4000)) + ".\n"
+    text = line * 200
+    tracemalloc.start()
+    numbers, _ = quality_rules.judge(text, quality_rules.LineRules())
+    judged = tracemalloc.get_traced_memory()[1]
+    tracemalloc.reset_peak()
+    simhash.fingerprint(simhash.shingle_hashes(text))
+    printed = tracemalloc.get_traced_memory()[1]
+    tracemalloc.stop()
+    assert numbers[0] == 800_000 and numbers[4] == 800_000 and numbers[3] == 199
+    assert judged < 8 * len(text) and printed < 40e6 + 2 * len(text)
+
+
+def test_line_rules_of_four_languages():
+    fails = lambda line: quality_rules.judge(line, quality_rules.LineRules())[0][8:11]
+    for line in ("Alle Rechte vorbehalten.", "Tous droits réservés.", "Todos los derechos reservados.", "All rights reserved.", "Zur Datenschutzerklärung.", "LEER MÁS!"):
+        assert fails(line) == [0, 0, 1], line
+    assert fails("Startseite") == [0, 1, 0]
+    assert fails("This sentence of some words just breaks off in the") == [1, 0, 0]
+    assert fails("This sentence of some words comes to its end.") == [0, 0, 0]
+
+
+def test_resampling_against_a_plain_version(spark):
+    import math
+
+    import xxhash
+
+    rng = random.Random(6)
+    vocabulary = [f"w{i}" for i in range(30)]
+    docs = [(i, " ".join(rng.choices(vocabulary[:20] if i % 3 else vocabulary[10:], k=rng.randrange(12)))) for i in range(60)] + [(60, None), (5, "twice  twice"), (None, "w1 w2")]
+    labels = [(i, int(i % 3 == 0), int(i % 12 == 0)) for i in range(0, 60, 2)]
+    bits, seed = 6, 11
+    table = spark.createDataFrame(docs, "doc_id bigint, text string")
+    out = resampling.resample_documents(table, spark.createDataFrame(labels, "doc_id bigint, quality int, toxic int"), seed=seed, bits=bits).collect()
+
+    def grams(text):
+        one = [xxhash.xxh64_intdigest(w.encode(), resampling.SEED) for w in brute.words(text)]
+        for a in one:
+            yield a >> (64 - bits)
+        for a, b in zip(one, one[1:]):
+            x = (a * 0x9E3779B97F4A7C15 % 2**64) ^ b
+            yield ((x ^ (x >> 29)) * 0xBF58476D1CE4E5B9 % 2**64) >> (64 - bits)
+
+    target = {k for k, quality, toxic in labels if quality and not toxic}
+    raw, fine = [1] * 2**bits, [1] * 2**bits
+    for k, t in docs:
+        for g in grams(t):
+            raw[g] += 1
+            fine[g] += k in target
+    ratio = [math.log(f / sum(fine)) - math.log(r / sum(raw)) for f, r in zip(fine, raw)]
+    want = []
+    for k, t in docs:
+        noise = int.from_bytes(hashlib.blake2b(f"{seed}:{k}".encode(), digest_size=8).digest(), "big")
+        weight = sum(ratio[g] for g in grams(t))
+        want.append((weight - math.log(-math.log((noise + 0.5) / 2**64)), k, weight, len(brute.words(t))))
+    want.sort(key=lambda x: (-x[0], x[1] is not None, x[1]))
+    kept = round(len(docs) * sum(q for _, q, _ in labels) / len(labels))
+    out.sort(key=lambda r: r["rank"])
+    assert [(r["doc_id"], r["n_words"], r["rank"], r["kept"]) for r in out] == [(k, n, i + 1, i < kept) for i, (_, k, _, n) in enumerate(want)]
+    assert all(abs(r["key"] - x[0]) < 1e-9 and abs(r["log_weight"] - x[2]) < 1e-9 for r, x in zip(out, want))
+
+
+def test_media_against_a_plain_version(spark):
+    import math
+    import struct
+
+    import zstandard
+
+    rng = random.Random(10)
+    cuts, gear = media.Cuts(64, 6, 512), media.gear_table()
+    long = "".join(rng.choice("abcdé \n") for _ in range(6000))
+    docs = [(1, long), (2, long), (3, "short"), (4, None), (5, ""), (6, long[:3000] + "changed" + long[3000:]), (None, "short"), (7, "x" * 2000)]
+    out = media.media_columns(spark.createDataFrame(docs, "doc_id bigint, text string").repartition(3), cuts).collect()
+    want = []
+    for k, t in docs:
+        raw = (t or "").encode()
+        payload = raw + bytes(-len(raw) % 64 if raw else 64)
+        at, stored, chunks = 0, b"CDC1", 0
+        for end in media.chunk_ends(payload, cuts, gear):
+            frame = zstandard.ZstdCompressor(level=6, write_content_size=True).compress(payload[at:end])
+            stored, at, chunks = stored + struct.pack("<I", len(frame)) + frame, end, chunks + 1
+        shares = [payload.count(b) / len(payload) for b in set(payload)]
+        feature = f"samples={len(payload)};chunks={chunks};mean_milli={sum(payload) * 1000 // len(payload)};peak={max(payload)};distinct={len(shares)};"
+        feature += f"entropy={-sum(p * math.log2(p) for p in shares) + 0.0:.4f}"
+        want.append((k or -1, len(raw), len(payload), hashlib.sha256(payload).hexdigest(), zlib.crc32(payload[-64:]), len(stored), hashlib.sha256(stored).hexdigest(), feature))
+    assert sorted((r[0] or -1, *r[1:]) for r in out) == sorted(want)
+
+
+def test_stable_rows(spark, sf_dir):
+    scan = spark.read.parquet(f"{sf_dir}/documents.parquet").select("doc_id", "text")
+    assert common.stable_rows(scan, "t") is scan
+    for other in (scan.repartition(2), scan.withColumn("r", F.rand()), scan.limit(3), spark.createDataFrame([(1,)], "a int")):
+        assert common.stable_rows(other, "t") is not other
