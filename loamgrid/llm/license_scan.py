@@ -51,6 +51,14 @@ SENTENCES = {
     "substantial portions of the Software.",
     "as-is": "THE SOFTWARE IS PROVIDED \"AS IS\", WITHOUT WARRANTY OF ANY KIND, EXPRESS OR IMPLIED, INCLUDING BUT NOT "
     "LIMITED TO THE WARRANTIES OF MERCHANTABILITY, FITNESS FOR A PARTICULAR PURPOSE AND NONINFRINGEMENT.",
+    "mit-liable": "IN NO EVENT SHALL THE AUTHORS OR COPYRIGHT HOLDERS BE LIABLE FOR ANY CLAIM, DAMAGES OR OTHER LIABILITY, "
+    "WHETHER IN AN ACTION OF CONTRACT, TORT OR OTHERWISE, ARISING FROM, OUT OF OR IN CONNECTION WITH THE SOFTWARE OR THE USE "
+    "OR OTHER DEALINGS IN THE SOFTWARE.",
+    "isc-as-is": "THE SOFTWARE IS PROVIDED \"AS IS\" AND THE AUTHOR DISCLAIMS ALL WARRANTIES WITH REGARD TO THIS SOFTWARE "
+    "INCLUDING ALL IMPLIED WARRANTIES OF MERCHANTABILITY AND FITNESS.",
+    "isc-liable": "IN NO EVENT SHALL THE AUTHOR BE LIABLE FOR ANY SPECIAL, DIRECT, INDIRECT, OR CONSEQUENTIAL DAMAGES OR ANY "
+    "DAMAGES WHATSOEVER RESULTING FROM LOSS OF USE, DATA OR PROFITS, WHETHER IN AN ACTION OF CONTRACT, NEGLIGENCE OR OTHER "
+    "TORTIOUS ACTION, ARISING OUT OF OR IN CONNECTION WITH THE USE OR PERFORMANCE OF THIS SOFTWARE.",
     "isc-grant": "Permission to use, copy, modify, and/or distribute this software for any purpose with or without fee "
     "is hereby granted, provided that the above copyright notice and this permission notice appear in all copies.",
     "isc-title": "ISC License",
@@ -62,6 +70,14 @@ SENTENCES = {
     "and the following disclaimer in the documentation and/or other materials provided with the distribution.",
     "bsd-endorse": "Neither the name of the copyright holder nor the names of its contributors may be used to endorse "
     "or promote products derived from this software without specific prior written permission.",
+    "bsd-endorse-rest": "nor the names of its contributors may be used to endorse or promote products derived from this "
+    "software without specific prior written permission.",
+    "bsd-as-is": "THIS SOFTWARE IS PROVIDED BY THE COPYRIGHT HOLDERS AND CONTRIBUTORS \"AS IS\" AND ANY EXPRESS OR IMPLIED "
+    "WARRANTIES, INCLUDING, BUT NOT LIMITED TO, THE IMPLIED WARRANTIES OF MERCHANTABILITY AND FITNESS FOR A PARTICULAR PURPOSE "
+    "ARE DISCLAIMED.",
+    "bsd-liable": "OR BUSINESS INTERRUPTION) HOWEVER CAUSED AND ON ANY THEORY OF LIABILITY, WHETHER IN CONTRACT, STRICT "
+    "LIABILITY, OR TORT (INCLUDING NEGLIGENCE OR OTHERWISE) ARISING IN ANY WAY OUT OF THE USE OF THIS SOFTWARE, EVEN IF "
+    "ADVISED OF THE POSSIBILITY OF SUCH DAMAGE.",
     "bsd-title-2": "BSD 2-Clause License",
     "bsd-title-3": "BSD 3-Clause License",
     "apache-notice": "Licensed under the Apache License, Version 2.0",
@@ -72,6 +88,24 @@ SENTENCES = {
     "apache-as-is": "Unless required by applicable law or agreed to in writing, software distributed under the License "
     "is distributed on an \"AS IS\" BASIS, WITHOUT WARRANTIES OR CONDITIONS OF ANY KIND, either express or implied.",
     "apache-see": "See the License for the specific language governing permissions and limitations under the License.",
+    "apache-grant": "Subject to the terms and conditions of this License, each Contributor hereby grants to You a perpetual, "
+    "worldwide, non-exclusive, no-charge, royalty-free, irrevocable copyright license to reproduce, prepare Derivative Works "
+    "of, publicly display, publicly perform, sublicense, and distribute the Work and such Derivative Works in Source or Object "
+    "form.",
+    "gpl3-kind": "The GNU General Public License is a free, copyleft license for software and other kinds of works.",
+    "gpl2-kind": "The licenses for most software are designed to take away your freedom to share and change it.",
+    "agpl-kind": "The GNU Affero General Public License is a free, copyleft license for software and other kinds of works, "
+    "specifically designed to ensure cooperation with the community in the case of network server software.",
+    "lgpl-kind": "This version of the GNU Lesser General Public License incorporates the terms and conditions of version 3 of "
+    "the GNU General Public License, supplemented by the additional permissions listed below.",
+    "mpl-grant": "Each Contributor hereby grants You a world-wide, royalty-free, non-exclusive license:",
+    "gpl-copy": "You should have received a copy of the GNU General Public License along with this program.",
+    **{
+        f"{key}-free": f"This {what} is free software: you can redistribute it and/or modify it under the terms of the GNU {name} "
+        "General Public License as published by the Free Software Foundation, either version 3 of the License, or (at your "
+        "option) any later version."
+        for key, what, name in (("lgpl", "library", "Lesser"), ("lgpl-program", "program", "Lesser"), ("agpl", "program", "Affero"))
+    },
     "gpl3-notice": "This work is licensed under the GNU General Public License, version 3",
     "gpl2-notice": "This work is licensed under the GNU General Public License, version 2",
     "gpl-free": "This program is free software: you can redistribute it and/or modify it under the terms of the GNU "
@@ -126,6 +160,7 @@ RULES = (
     ("ISC", ("isc-grant",)),
     ("ISC", ("isc-title",)),
     ("BSD-3-Clause", ("bsd-grant", "bsd-source", "bsd-binary", "bsd-endorse")),
+    ("BSD-3-Clause", ("bsd-grant", "bsd-source", "bsd-binary", "bsd-endorse-rest")),
     ("BSD-3-Clause", ("bsd-title-3",)),
     ("BSD-2-Clause", ("bsd-grant", "bsd-source", "bsd-binary")),
     ("BSD-2-Clause", ("bsd-title-2",)),
@@ -134,6 +169,15 @@ RULES = (
     ("Apache-2.0", ("apache-notice-2",)),
     ("Apache-2.0", ("apache-notice",)),
     ("Apache-2.0", ("apache-title",)),
+    ("Apache-2.0", ("apache-grant",)),
+    ("GPL-3.0", ("gpl3-kind",)),
+    ("GPL-2.0", ("gpl2-kind",)),
+    ("AGPL-3.0", ("agpl-kind",)),
+    ("LGPL-3.0", ("lgpl-kind",)),
+    ("MPL-2.0", ("mpl-grant",)),
+    ("LGPL-3.0", ("lgpl-free",)),
+    ("LGPL-3.0", ("lgpl-program-free",)),
+    ("AGPL-3.0", ("agpl-free",)),
     ("GPL-3.0", ("gpl-free", "gpl-hope", "gpl-details")),
     ("GPL-3.0", ("gpl-free",)),
     ("GPL-3.0", ("gpl3-notice",)),
@@ -158,6 +202,8 @@ RULES = (
     *[(name, ("spdx", f"spdx-{key.lower()}")) for key, name in SPDX],
 )
 
+#: Sentences in a row that tell a licence's whole text.
+BODY_RUN = 5
 #: Licences whose texts contain each other's rules; only the longest of them counts.
 CONTAINING = {"BSD-2-Clause": "BSD", "BSD-3-Clause": "BSD"}
 
@@ -171,37 +217,55 @@ ANCHOR = (
 LINE_END = r"[.!?;:]+(?:[ \t\n\r]+|$)|\n[ \t\r\n]*"
 
 
+#: The holder that a sentence names, whoever it is, is written as in SENTENCES.
+HOLDER = r"^neither the names? of .*? nor the names of (?:its|their|the) contributors "
+HOLDER_FORM = "neither the name of the copyright holder nor the names of its contributors "
+
+
 def normal_text(text: str) -> str:
     """The same as ``normal`` for the known sentences."""
-    return re.sub(r"[^a-z0-9]+", " ", re.sub("[A-Z]", lambda m: m[0].lower(), text)).strip(" ")
+    plain = re.sub(r"[^a-z0-9]+", " ", re.sub("[A-Z]", lambda m: m[0].lower(), text)).strip(" ")
+    return re.sub(HOLDER, HOLDER_FORM, plain)
 
 
 def normal(text: Column) -> Column:
-    """ASCII lower case; every run of other characters than a-z and 0-9 is one space; none at the ends."""
+    """ASCII lower case; every run of other characters than a-z and 0-9 is one space; none at the ends; any holder alike."""
     lower = F.translate(text, "ABCDEFGHIJKLMNOPQRSTUVWXYZ", "abcdefghijklmnopqrstuvwxyz")
-    return F.trim(F.regexp_replace(lower, "[^a-z0-9]+", " "))
+    plain = F.trim(F.regexp_replace(lower, "[^a-z0-9]+", " "))
+    return F.when(F.startswith(plain, F.lit("neither the name")), F.regexp_replace(plain, HOLDER, HOLDER_FORM)).otherwise(plain)
 
 
-def segments(text: str) -> list[str]:
-    """The normalised sentences of a known text, less those of a word or two without a telling word."""
+def segments(text: str, body: bool = False) -> list[str]:
+    """The normalised sentences of a known text that have a telling word; of a whole licence's text those of four words."""
     parts = [normal_text(part) for part in re.split(END, text)]
-    return [p for p in parts if p and re.search(ANCHOR, p)]
+    return [p for p in parts if (p.count(" ") >= 3 if body else p and re.search(ANCHOR, p))]
 
 
-def known_table() -> dict[str, str]:
+def known_table(bodies: dict[str, str] | None = None) -> dict[str, str]:
     """Normalised sentence -> identifier, numbered where a known text has several."""
     out: dict[str, str] = {}
-    for key, text in SENTENCES.items():
-        parts = segments(text)
+    texts = [(key, segments(text)) for key, text in SENTENCES.items()]
+    texts += [(f"body-{name.lower()}", segments(text, body=True)) for name, text in (bodies or {}).items()]
+    for key, parts in texts:
         for k, part in enumerate(parts):
             out.setdefault(part, f"{key}.{k + 1}" if len(parts) > 1 else key)
     return out
 
 
-def expanded_rules() -> list[tuple[str, str]]:
-    """(licence, identifiers of the rule's sentences in order, space-joined)."""
-    known = known_table()
-    return [(name, " ".join(known[p] for key in rule for p in segments(SENTENCES[key]))) for name, rule in RULES]
+def expanded_rules(bodies: dict[str, str] | None = None) -> list[tuple[str, str]]:
+    """(licence, identifiers of the rule's sentences in order, space-joined).
+
+    A licence's whole text stands for it by any BODY_RUN sentences in a row, taken every BODY_RUN sentences, of those
+    that no other known text has.
+    """
+    known = known_table(bodies)
+    out = [(name, " ".join(known[p] for key in rule for p in segments(SENTENCES[key]))) for name, rule in RULES]
+    for name, text in (bodies or {}).items():
+        own = [known[p] for p in segments(text, body=True)]
+        runs = [own[i : i + BODY_RUN] for i in range(0, max(1, len(own) - BODY_RUN + 1), BODY_RUN)]
+        mine = f"body-{name.lower()}"
+        out += [(name, " ".join(run)) for run in runs if any(x == mine or x.startswith(mine + ".") for x in run)]
+    return out
 
 
 def sentence_ids(text: Column, ends: str, known: Column) -> Column:
@@ -210,9 +274,12 @@ def sentence_ids(text: Column, ends: str, known: Column) -> Column:
     return F.filter(looked, lambda x: x.isNotNull())
 
 
-def scan_licenses(docs: DataFrame) -> DataFrame:
+def scan_licenses(docs: DataFrame, bodies: dict[str, str] | None = None) -> DataFrame:
     """One row per row of ``docs`` (doc_id, text): licenses, sentence_ids, rules, n_known.
 
+    ``bodies`` adds whole licence texts by licence name to the sentences and rules of this module, which has the
+    notices, grants and disclaimers of the common licences but not their full texts.
+
     ``sentence_ids`` has the known sentences in order, space-joined. Text is read both ways that notices are set:
     wrapped (a single line break is a space) and line by line; the way that recognises more sentences counts, at a
     tie the wrapped one. A rule holds where its identifiers follow each other among those found, whatever unknown
@@ -224,9 +291,9 @@ def scan_licenses(docs: DataFrame) -> DataFrame:
     DataFrame functions only, one projection without a shuffle. Each known sentence has one of the words of
     ``ANCHOR``, so only texts with one are cut into sentences; the others can hold none.
     """
-    known = F.create_map([F.lit(x) for pair in known_table().items() for x in pair])
+    known = F.create_map([F.lit(x) for pair in known_table(bodies).items() for x in pair])
     text = F.coalesce(F.col("text").cast("string"), F.lit(""))
-    may = text.rlike(ANCHOR)
+    may = F.lit(True) if bodies else text.rlike(ANCHOR)
     none = F.array().cast("array<string>")
     read = docs.select(
         F.col("doc_id").cast("bigint").alias("doc_id"),
@@ -235,7 +302,7 @@ def scan_licenses(docs: DataFrame) -> DataFrame:
     )
     ids = F.when(F.size("lined") > F.size("wrapped"), F.col("lined")).otherwise(F.col("wrapped"))
     row = F.concat(F.lit(" "), F.concat_ws(" ", "ids"), F.lit(" "))
-    rules, held, licences = expanded_rules(), [], []
+    rules, held, licences = expanded_rules(bodies), [], []
     for name, rule in rules:
         holds = F.contains(row, F.lit(f" {rule} "))
         for longer in [r for n, r in rules if r != rule and f" {rule} " in f" {r} " and CONTAINING.get(n, n) == CONTAINING.get(name, name)]:

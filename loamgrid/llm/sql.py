@@ -85,6 +85,7 @@ def license_scan_sql() -> str:
     known, rules = L.known_table(), L.expanded_rules()
     upper, lower = "ABCDEFGHIJKLMNOPQRSTUVWXYZ", "abcdefghijklmnopqrstuvwxyz"
     normal = f"trim(regexp_replace(translate(s, '{upper}', '{lower}'), '[^a-z0-9]+', ' ', 'g'), ' ')"
+    normal = f"regexp_replace({normal}, '{L.HOLDER}', '{L.HOLDER_FORM}')"
     keys, names = listed(known), listed(known.values())
     ids = (
         "list_filter(list_transform(string_split_regex(text, {0}), lambda s: " + names + f"[list_position({keys}, {normal})]), lambda x: x IS NOT NULL)"

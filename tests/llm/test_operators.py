@@ -274,6 +274,27 @@ def test_short_license_notices(spark):
     assert got == {k: name for k, (_, name) in texts.items()}
 
 
+def test_licenses_with_holders_and_bodies(spark):
+    s = license_scan.SENTENCES
+    bsd = [s["bsd-grant"], s["bsd-source"], s["bsd-binary"]]
+    end = "may be used to endorse or promote products derived from this software without specific prior written permission."
+    body = " ".join(f"Clause {k} of this text grants a {w} right and no other one." for k, w in enumerate("red green blue grey pink teal lime navy gold plum".split()))
+    texts = {
+        1: ("\n".join([*bsd, f"Neither the name of Example University nor the names of its contributors {end}", s["bsd-as-is"]]), "BSD-3-Clause"),
+        2: ("\n".join([*bsd, f"Neither the name of Example Inc. nor the names of its contributors {end}"]), "BSD-3-Clause"),
+        3: (s["mit-grant"] + "\n" + s["mit-condition"] + "\n" + s["as-is"] + " " + s["mit-liable"], "MIT"),
+        4: ("Preamble\n" + s["gpl3-kind"], "GPL-3.0"),
+        5: (s["agpl-free"], "AGPL-3.0"),
+        6: (s["lgpl-free"] + " " + s["gpl-hope"], "LGPL-3.0"),
+        7: ("Before. " + body + " After.", ""),
+    }
+    docs = spark.createDataFrame([(k, t) for k, (t, _) in texts.items()], "doc_id bigint, text string")
+    got = {r["doc_id"]: r["licenses"] for r in license_scan.scan_licenses(docs).collect()}
+    assert got == {k: name for k, (_, name) in texts.items()}
+    got = {r["doc_id"]: r["licenses"] for r in license_scan.scan_licenses(docs, {"Own-1.0": body}).collect()}
+    assert got == {k: name or "Own-1.0" for k, (_, name) in texts.items()}
+
+
 def test_every_license_line_of_the_tables_is_known(spark):
     docs = spark.read.parquet("/root/testdata/sf0.1/documents.parquet")
     lines = docs.select(F.explode(F.split("text", "\n")).alias("text")).filter("lower(text) like '%licen%'").distinct()
