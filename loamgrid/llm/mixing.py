@@ -132,7 +132,7 @@ def shard_words() -> Column:
 
 def mix_documents(
     docs: DataFrame, weights: tuple[float, ...] = (5, 2, 1), most: int = 3, n_shards: int = 16, seed: int = 17,
-    block_words: int = BLOCK_WORDS,
+    block_words: int = BLOCK_WORDS, keep: tuple[str, ...] = (),
 ) -> DataFrame:
     """One row per row of ``docs`` (doc_id, text, source): source, size, source_size, target, taken, start, quota,
     shard_taken.
@@ -146,7 +146,8 @@ def mix_documents(
     is split. ``shard_taken`` has the words that each of the ``n_shards`` shards takes of the document; they sum to
     ``taken``, all shards get equally many words, but for one, and each source's in the same shares. A null source is
     a source; a document without words is kept with taken 0; repeated rows are served each; ties of the hash fall
-    back to doc_id and size; an empty table gives an empty result.
+    back to doc_id and size; an empty table gives an empty result. ``keep`` names further columns of ``docs`` to keep,
+    named otherwise than these.
 
     Scale: texts are read once, for counts. The driver gets one row per source (a dimension of the corpus, not its
     rows; more than MOST_SOURCES are an error) and awards about one seat a source and MAX_BLOCKS more one by one.
@@ -159,6 +160,7 @@ def mix_documents(
             F.col("doc_id").cast("bigint").alias("doc_id"),
             F.col("source").cast("string").alias("source"),
             F.coalesce(F.regexp_count(F.col("text"), F.lit(r"[^\x20\x09-\x0D]+")), F.lit(0)).cast("bigint").alias("size"),
+            *keep,
         ),
         "mix-sizes",
     )
@@ -185,5 +187,5 @@ def mix_documents(
     out = out.withColumn("pieces", served_pieces(block_words)).withColumn("shard_taken", shard_words())
     taken = F.aggregate("shard_taken", F.lit(0).cast("bigint"), lambda s, n: s + n)
     return out.withColumn("taken", taken).select(
-        "doc_id", "source", "size", "source_size", "target", "quota", "start", "taken", "shard_taken"
+        "doc_id", "source", "size", "source_size", "target", "quota", "start", "taken", "shard_taken", *keep
     )

@@ -9,6 +9,7 @@ together they hold every fingerprint and so grow with the corpus.
 
 from __future__ import annotations
 
+import sys
 from collections.abc import Iterable, Iterator
 from itertools import combinations
 
@@ -25,6 +26,8 @@ SHINGLE = 3
 RADIUS = 2
 #: Beyond this radius too many shard trees would hold each fingerprint.
 MAX_RADIUS = 6
+#: Fingerprints of one key that go to one tree; more are dealt to finer trees.
+DENSE = 1 << 14
 #: Hashes whose bits are counted at a time.
 COUNT_ROWS = 1 << 16
 
@@ -150,55 +153,123 @@ def block_plan(radius: int) -> tuple[list[tuple[int, int]], int]:
 
 
 def block_keys(fp: Column, radius: int = RADIUS) -> Column:
-    """One key for each choice of blocks: its number and the blocks' bits."""
+    """struct(key, mask) for each choice of blocks: its number and the blocks' bits, and where those bits are."""
     blocks, shared = block_plan(radius)
     keys = []
     for n, chosen in enumerate(combinations(blocks, shared)):
-        key = F.lit(n).cast("bigint")
+        key, mask = F.lit(n).cast("bigint"), 0
         for first, bits in chosen:
             part = F.shiftrightunsigned(fp, first).bitwiseAND(F.lit((1 << bits) - 1).cast("bigint"))
             key = F.shiftleft(key, bits).bitwiseOR(part)
-        keys.append(key)
+            mask |= ((1 << bits) - 1) << first
+        keys.append(F.struct(key.alias("key"), F.lit(signed(mask)).cast("bigint").alias("mask")))
     return F.array(*keys)
 
 
-def shard_links(nodes: DataFrame, radius: int) -> DataFrame:
-    """(a, b) with a < b: links between nodes (fp, rep), by the shard trees: those that join what all such pairs would join."""
+def signed(number: int) -> int:
+    return number - (1 << 64) if number >> 63 else number
 
-    def grouped(batches):
-        """(fps, reps) of each key that two or more nodes share; rows come sorted by key."""
-        held = None
-        for batch in batches:
-            rows = [batch.column(i).to_numpy() for i in range(3)]
-            rows = rows if held is None else [np.concatenate(x) for x in zip(held, rows)]
-            cuts = np.flatnonzero(np.diff(rows[0])) + 1
-            edges = np.concatenate([[0], cuts])
-            for start, end in zip(edges[:-1], edges[1:]):
-                if end - start > 1:
-                    yield rows[1][start:end], rows[2][start:end]
-            held = [x[edges[-1] :] for x in rows]
-        if held is not None and len(held[0]) > 1:
-            yield held[1], held[2]
 
-    def run(batches):
+def finer_masks(mask: int, radius: int) -> list[int]:
+    """For fingerprints that agree in the bits of ``mask``: masks of more bits, in one of which linked ones agree too.
+
+    The other bits are cut into blocks as the whole fingerprint is.
+    """
+    plan, shared = block_plan(radius)
+    free = [b for b in range(64) if not mask >> b & 1]
+    cuts = [len(free) * i // len(plan) for i in range(len(plan) + 1)]
+    parts = [sum(1 << b for b in free[a:z]) for a, z in zip(cuts, cuts[1:])]
+    return [mask | sum(chosen) for chosen in combinations(parts, shared)]
+
+
+def _groups(batches, dense: int):
+    """(rows, whole) of each key, rows being arrays fp, rep, mask, sorted by key; a key of more than ``dense`` rows comes
+    in pieces that are not whole."""
+    key, held, n, whole = None, [], 0, True
+    for batch in batches:
+        keys, *rows = (batch.column(i).to_numpy() for i in range(4))
+        edges = [0, *(np.flatnonzero(np.diff(keys)) + 1).tolist(), len(keys)]
+        for start, end in zip(edges[:-1], edges[1:]):
+            if end == start:
+                continue
+            if keys[start] != key:
+                if held:
+                    yield [np.concatenate(x) for x in zip(*held)], whole
+                key, held, n, whole = keys[start], [], 0, True
+            held.append([x[start:end] for x in rows])
+            n += end - start
+            if n > dense:
+                whole = False
+                yield [np.concatenate(x) for x in zip(*held)], False
+                held, n = [], dense
+    if held:
+        yield [np.concatenate(x) for x in zip(*held)], whole
+
+
+def shard_links(nodes: DataFrame, radius: int, dense: int = DENSE) -> DataFrame:
+    """(a, b) with a < b: links between nodes (fp, rep), by the shard trees: those that join what all such pairs would join.
+
+    A key of more than ``dense`` fingerprints is no tree: its fingerprints are dealt once more, by choices of blocks of the
+    bits that the key leaves open, to trees over all tasks. At radius 2 that leaves 16 bits, so 65,536 distinct
+    fingerprints a tree at most; what stays dense is a cluster, in which a tree passes over what is linked already.
+    """
+    names = ["kind", "x", "y", "mask"]
+
+    def as_batch(rows):
+        kinds = (pa.int8(), pa.int64(), pa.int64(), pa.int64())
+        return pa.RecordBatch.from_arrays([pa.array(c, t) for c, t in zip(rows, kinds)], names=names)
+
+    def run(batches, most=dense):
+        """Rows (0, a, b, 0) are links, rows (1, fp, rep, mask) are left to finer trees."""
         pairs: list[tuple[int, int]] = []
-        for fps, reps in grouped(batches):
-            names = reps.tolist()
-            values = [x & 0xFFFFFFFFFFFFFFFF for x in fps.tolist()]
-            pairs += [tuple(sorted((names[i], names[k]))) for i, k in links_within(values, radius)]
-            if len(pairs) >= 10_000:
-                yield as_batch(pairs)
-                pairs = []
-        if pairs:
-            yield as_batch(pairs)
 
-    def as_batch(pairs):
-        return pa.RecordBatch.from_arrays([pa.array(x, pa.int64()) for x in zip(*pairs)], names=["a", "b"])
+        def linked():
+            a, b = zip(*pairs)
+            return as_batch([[0] * len(pairs), a, b, [0] * len(pairs)])
+
+        for (fps, reps, masks), whole in _groups(batches, most):
+            if not whole:
+                yield as_batch([np.ones(len(fps), np.int8), fps, reps, masks])
+                continue
+            once = np.concatenate([[True], fps[1:] != fps[:-1]])  # two choices of blocks may end in one mask
+            fps, reps = fps[once], reps[once]
+            if len(fps) > 1:
+                own = reps.tolist()
+                values = [x & 0xFFFFFFFFFFFFFFFF for x in fps.tolist()]
+                pairs += [tuple(sorted((own[i], own[k]))) for i, k in links_within(values, radius)]
+                if len(pairs) >= 10_000:
+                    yield linked()
+                    pairs = []
+        if pairs:
+            yield linked()
 
-    routed = nodes.select(F.explode(block_keys(F.col("fp"), radius)).alias("key"), "fp", "rep")
+    def finer(batches):
+        known: dict[int, np.ndarray] = {}
+        for batch in batches:
+            fps, reps, masks = (batch.column(i).to_numpy().view(np.uint64) for i in range(3))
+            for mask in np.unique(masks).tolist():
+                if mask not in known:
+                    known[mask] = np.array(finer_masks(mask, radius), np.uint64)
+                at = masks == np.uint64(mask)
+                for new in known[mask]:
+                    key = ((fps[at] & new) * np.uint64(0x9E3779B97F4A7C15)) ^ np.uint64(int(new) * 0xC2B2AE3D27D4EB4F % (1 << 64))
+                    columns = [key, np.full(len(key), new), fps[at], reps[at]]
+                    yield pa.RecordBatch.from_arrays([pa.array(c.view(np.int64)) for c in columns], names=["key", "mask", "fp", "rep"])
+
+    routed = nodes.select(F.explode(block_keys(F.col("fp"), radius)).alias("k"), "fp", "rep").select("k.key", "k.mask", "fp", "rep")
     parts = int(nodes.sparkSession.conf.get("spark.sql.shuffle.partitions"))
-    sorted_rows = routed.repartition(parts, "key").sortWithinPartitions("key", "fp")
-    return sorted_rows.mapInArrow(run, "a bigint, b bigint").distinct()
+
+    def searched(rows, search):
+        ordered = rows.select("key", "fp", "rep", "mask").repartition(parts, "key").sortWithinPartitions("key", "fp")
+        return materialise(ordered.mapInArrow(search, "kind tinyint, x bigint, y bigint, mask bigint"), "simhash-links")
+
+    links_in = lambda df: df.filter("kind = 0").select(F.col("x").alias("a"), F.col("y").alias("b"))
+    out = searched(routed, run)
+    links, left = links_in(out), out.filter("kind = 1").select(F.col("x").alias("fp"), F.col("y").alias("rep"), "mask")
+    if not left.isEmpty():
+        again = left.mapInArrow(finer, "key bigint, mask bigint, fp bigint, rep bigint")
+        links = links.unionByName(links_in(searched(again, lambda batches: run(batches, sys.maxsize))))
+    return links.distinct()
 
 
 def components(links: DataFrame) -> DataFrame:
@@ -238,12 +309,13 @@ def near_duplicates(docs: DataFrame, radius: int = RADIUS) -> DataFrame:
     Words are runs other than 0x20 and 0x09-0x0D of the text with A-Z lower-cased; shingles are three words, repeats
     included; a shorter text is one shingle; null and wordless texts have fingerprint zero and link like any other.
     Fingerprints link at ``radius`` or fewer differing bits (``block_plan``); ``component_id`` is the
-    smallest doc_id reached. A null doc_id takes the component of its fingerprint and links nothing of its own.
+    smallest doc_id reached. A null doc_id takes the component of its fingerprint and links nothing of its own; the
+    component of a fingerprint that only null doc_ids have is null.
     Repeated rows stay; further columns are ignored; an empty table gives an empty result.
 
     Scale: texts are read once. Copies meet by fingerprint with map-side combining, so a group of copies is one node
-    whatever its size; nodes go to six shard trees each at radius 2, sorted by key and streamed; the links that come back are
-    those that join groups, never all pairs.
+    whatever its size; nodes go to six shard trees each at radius 2, sorted by key and streamed, a tree of more than DENSE
+    nodes being dealt to finer ones; the links that come back are those that join groups, never all pairs.
     """
     block_plan(radius)
     prints = materialise(fingerprints(docs), "simhash-prints")

@@ -199,6 +199,32 @@ def test_bk_tree_links_what_all_pairs_link(seed):
     assert brute.components(len(values), near) == brute.components(len(values), lambda i, k: (i, k) in pairs)
 
 
+@pytest.mark.parametrize("radius, dense", [(2, 20), (2, 300), (4, 60)])
+def test_dense_keys_are_split(spark, radius, dense):
+    """Fingerprints that share most bits, in keys of more than ``dense``, link as all pairs do."""
+    random.seed(radius * 7 + dense)
+    centres = [random.getrandbits(64) for _ in range(3)]
+    values = {c ^ sum(1 << b for b in random.sample(range(64), random.randrange(6))) for c in centres for _ in range(150)}
+    values |= {centres[0] ^ (k << 20) for k in range(150)}
+    values = sorted(values)
+    nodes = spark.createDataFrame([(simhash.signed(v), i) for i, v in enumerate(values)], "fp bigint, rep bigint").repartition(3)
+    links = {tuple(r) for r in simhash.shard_links(nodes, radius, dense).collect()}
+    near = lambda i, k: (values[i] ^ values[k]).bit_count() <= radius
+    assert all(i < k and near(i, k) for i, k in links)
+    assert brute.components(len(values), near) == brute.components(len(values), lambda i, k: (k, i) in links)
+
+
+@pytest.mark.parametrize("radius", [2, 4, 6])
+def test_finer_masks_hold_linked_fingerprints(radius):
+    random.seed(radius)
+    for _ in range(100):
+        mask = sum(1 << b for b in random.sample(range(64), random.randrange(45)))
+        free = [b for b in range(64) if not mask >> b & 1]
+        apart = sum(1 << b for b in random.sample(free, radius))
+        masks = simhash.finer_masks(mask, radius)
+        assert all(m & mask == mask and m != mask for m in masks) and any(not m & apart for m in masks)
+
+
 def test_components(spark):
     random.seed(5)
     edges = [(i, i + 1) for i in range(40)] + [(100, i) for i in range(101, 160)] + [(200, 201), (5, 150)]

@@ -1,6 +1,8 @@
 """The pipeline against its stages done plainly."""
 
 import corpus_pipeline
+from pyspark.sql import functions as F
+
 from loamgrid.llm import mixing, packing, quality_rules
 from loamgrid.llm.common import materialise
 from tests.llm import brute
@@ -18,6 +20,47 @@ def plain_stages(rows):
     return one, two, [r for r in two if groups[r[0]][1] == r[0]]
 
 
+ODD = [
+    (5, "alpha " + " ".join(f"one{i}" for i in range(80)) + ".", "a", 1),
+    (5, "beta " + " ".join(f"two{i}" for i in range(80)) + ".", "a", 1),
+    (None, "gamma " + " ".join(f"three{i}" for i in range(80)) + ".", None, 1),
+    (None, None, "a", None),
+    (6, "", "b", 0),
+    (7, "same " + " ".join(f"four{i}" for i in range(80)) + ".", "b", 1),
+    (7, "same " + " ".join(f"four{i}" for i in range(80)) + ".", "b", 1),
+    (8, "same " + " ".join(f"four{i}" for i in range(80)) + ".", "b", 1),
+    (9, ". ".join(" ".join(f"v{j}x{i}" for i in range(20)) for j in range(3000)) + ".", "b", 1),
+]
+
+
+def test_stages_on_odd_rows(spark, sf_dir):
+    """Nulls, repeated doc_ids with other texts, equal rows, a long text, names that stages might use, an empty table."""
+    docs = spark.createDataFrame(ODD, "doc_id bigint, text string, source string, n_chars bigint")
+    docs = docs.withColumns({name: F.lit("own") for name in ("_n", "_k", "row", "size", "pid", "taken", "lang", "component_id", "n", "o", "at")})
+    stages = dict(corpus_pipeline.STAGES)
+    heads = lambda df: sorted((r["doc_id"] or -1, (r["text"] or "")[:5]) for r in df.collect())
+    worded = [(-1, "gamma"), (5, "alpha"), (5, "beta "), (7, "same "), (7, "same "), (8, "same "), (9, "v0x0 ")]
+    want = {
+        "quality rules": worded,
+        "line dedup": sorted([*worded, (-1, ""), (6, "")]),
+        "near dedup": [(-1, "gamma"), (5, "alpha"), (5, "beta "), (6, ""), (7, "same "), (9, "v0x0 ")],
+    }
+    for name, stage in stages.items():
+        out = stage(spark, docs, sf_dir)
+        if name in want:
+            assert heads(out) == want[name], name
+        if name == "mixing":
+            own = heads(out)
+            assert set(own) <= set(worded) and {(5, "alpha"), (-1, "gamma")} <= set(own) and max(map(own.count, own)) <= 6
+        if name == "packing":
+            assert {r["doc_id"] for r in out.collect()} == {r[0] for r in ODD}
+        else:
+            assert out.dtypes == docs.dtypes
+            assert all(r["_n"] == r["_k"] == r["row"] == "own" for r in out.collect())
+            assert all(r["n_chars"] == len(r["text"]) for r in out.collect() if name in ("quality rules", "line dedup") and r["text"])
+        assert stage(spark, docs.limit(0), sf_dir).collect() == []
+
+
 def test_stages_and_run(spark, sf_dir):
     docs = spark.read.parquet(f"{sf_dir}/documents.parquet")
     rows = [(r["doc_id"], r["text"], r["source"]) for r in docs.collect()]
