@@ -29,34 +29,68 @@ def _columns(docs: DataFrame, out: DataFrame) -> DataFrame:
     return out.withColumns(text).select(docs.columns)
 
 
+def _numbered(docs: DataFrame, row: str) -> DataFrame:
+    """``docs``, written with a number for each row that stays the same however often they are read."""
+    return materialise(docs.withColumn(row, F.monotonically_increasing_id()), "stage-rows")
+
+
 def quality_rules(spark: SparkSession, docs: DataFrame, sf_dir: str) -> DataFrame:
-    """Documents that the rules keep, without the lines that failed."""
+    """Documents that the rules keep, without the lines that failed.
+
+    Each row is judged by its text alone, whatever its doc_id, also null or repeated. A null or empty text fails the
+    base rules and goes; very long texts are judged whole; repeated rows stay or go together; an empty table stays
+    empty; further columns stay as they are, n_chars being counted anew.
+    """
     return _columns(docs, clean_rows(docs))
 
 
 def line_dedup(spark: SparkSession, docs: DataFrame, sf_dir: str) -> DataFrame:
-    """Texts without repeated line windows; a document of mostly such lines goes."""
+    """Texts without repeated line windows; a document of mostly such lines goes.
+
+    A row is a document of its own, its doc_id being null or repeated or not; null and empty texts, and texts of fewer
+    than three lines, stay; of equal rows the first keeps its text; an empty table stays empty; further columns stay
+    as they are, n_chars being counted anew.
+    """
     out = dedupe_lines(docs)
     return _columns(docs, out.filter(F.col("n_removed_words") <= MAX_REPEATED_SHARE * F.col("n_words_before")))
 
 
 def near_dedup(spark: SparkSession, docs: DataFrame, sf_dir: str) -> DataFrame:
-    """The document of the smallest doc_id of each group of near-duplicates, once.
+    """One document of each group of near-duplicates: that of the smallest doc_id.
 
-    Rows without a doc_id can't be told apart and go.
+    A row is a document of its own: rows without a doc_id come after all others, and of rows that share a doc_id and
+    a group the one of the least text hash stays, of equal rows any one. Null and wordless texts are one group. An empty
+    table stays empty; further columns stay as they are.
     """
-    first = near_duplicates(docs, NEAR_RADIUS).filter("doc_id = component_id").select("doc_id").distinct()
-    return docs.join(first, "doc_id", "left_semi").dropDuplicates(["doc_id"]).select(docs.columns)
+    row = "__near_row"
+    rows = _numbered(docs, row)
+    groups = near_duplicates(rows.select(F.col(row).alias("doc_id"), "text"), NEAR_RADIUS)
+    order = F.struct(F.isnull("doc_id").alias("last"), "doc_id", F.xxhash64("text").alias("text"), F.col(row).alias("row"))
+    ranked = rows.select(F.col(row).alias("n"), order.alias("o")).join(groups.select(F.col("doc_id").alias("n"), "component_id"), "n")
+    first = ranked.groupBy("component_id").agg(F.min("o").alias("o")).select(F.col("o.row").alias(row))
+    return rows.join(first, row, "left_semi").select(docs.columns)
 
 
 def mixing(spark: SparkSession, docs: DataFrame, sf_dir: str) -> DataFrame:
-    """Documents of which the mix takes words, as often as it needs them."""
-    taken = mix_documents(docs).filter("taken > 0").select("doc_id", F.ceil(F.col("taken") / F.col("size")).alias("_n"))
-    out = docs.join(taken, "doc_id").withColumn("_k", F.explode(F.sequence(F.lit(1), F.col("_n").cast("int"))))
+    """Documents of which the mix takes words, as often as it needs them.
+
+    A row is a document of its own, its doc_id being null or repeated or not; a null source is a source; a document
+    without words is never taken; an empty table stays empty; further columns stay as they are.
+    """
+    row, copies, copy = "__mix_row", "__mix_copies", "__mix_copy"
+    rows = _numbered(docs, row)
+    taken = mix_documents(rows, keep=(row,)).filter("taken > 0")
+    times = taken.select(row, F.ceil(F.col("taken") / F.col("size")).cast("int").alias(copies))
+    out = rows.join(times, row).withColumn(copy, F.explode(F.sequence(F.lit(1), F.col(copies))))
     return out.select(docs.columns)
 
 
 def packing(spark: SparkSession, docs: DataFrame, sf_dir: str) -> DataFrame:
+    """The pieces of all documents, placed in sequences.
+
+    A row is a document of its own, its doc_id being null or repeated or not; a null or empty text is one piece, its
+    closing id; very long texts are cut; an empty table gives no pieces; further columns are left behind.
+    """
     return pack_documents(docs)
 
 
