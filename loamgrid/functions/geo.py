@@ -43,7 +43,7 @@ def all_in_box(points: Column, box: tuple[float, float, float, float]) -> Column
 
 
 def ring_stats(rings: Column) -> Column:
-    """struct(rings, vertices, complexity) of array<array<point>>."""
+    """struct(rings, vertices, complexity) of array<array<point>>: several rings, more than 20 vertices, or neither."""
     vertices = F.aggregate(rings, F.lit(0), lambda n, r: n + F.size(r))
-    kind = F.when(F.size(rings) > 1, "multi").when(vertices > 100, "complex").otherwise("simple")
+    kind = F.when(F.size(rings) > 1, "multi-polygon").when(vertices > 20, "complex-polygon").otherwise("simple-polygon")
     return F.struct(F.size(rings).alias("rings"), vertices.alias("vertices"), kind.alias("complexity"))

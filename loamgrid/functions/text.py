@@ -2,6 +2,7 @@
 
 from __future__ import annotations
 
+import re
 import unicodedata
 
 import pandas as pd
@@ -144,6 +145,12 @@ def parcel_dashed(value: Column) -> Column:
     return F.when(F.length(digits) == 10, F.concat_ws("-", F.substring(digits, 1, 6), F.substring(digits, 7, 4)))
 
 
+def parcel12(value: Column) -> Column:
+    """Twelve letters or digits once blanks and dashes are gone, upper-case; else null."""
+    kept = F.regexp_replace(F.upper(F.trim(value)), r"[-\s]", "")
+    return F.when(kept.rlike("^[A-Z0-9]{12}$"), kept)
+
+
 def county_slug(value: Column, separator: str = "-") -> Column:
     slug = F.regexp_replace(F.lower(F.trim(value)), "[^a-z0-9]+", separator)
     return F.trim(slug, F.lit(separator))
@@ -157,6 +164,17 @@ def url_identity(url: Column) -> Column:
     return F.concat(host, path)
 
 
+def profile_url_ids(url: Column, host: str) -> Column:
+    """The ids that end the address of a profile page on ``host`` or a subdomain, joined by colons; null for others.
+
+    Such an address is https, has /profile/ in its path, and ends in -1234-567 and perhaps /addressId/8.
+    """
+    pattern = rf"^(?i:https)://(?:[^/?#@]*\.)?(?i:{re.escape(host)})(?::\d+)?(/[^?#]*)"
+    path = F.regexp_replace(F.regexp_extract(F.trim(url), pattern, 1), "/+$", "")
+    ids = lambda i: F.nullif(F.regexp_extract(path, r"(?i)-(\d{4})-(\d+)(?:/addressId/(\d+))?$", i), F.lit(""))
+    return F.when(path.rlike("(?i)/profile/") & ids(1).isNotNull(), F.concat_ws(":", ids(1), ids(2), ids(3)))
+
+
 def owner_names(value: Column) -> Column:
     """Distinct owners of a free-text field, split at & and ;, in order; companies keep their form, persons become
     ``First Middle Last`` where the source has ``LAST, FIRST MIDDLE``."""
@@ -195,6 +213,17 @@ def jaro_winkler_of(left: str, right: str) -> float:
     return jaro + prefix * 0.1 * (1 - jaro)
 
 
+def jaro_winkler_bound(left: Column, right: Column) -> Column:
+    """What the similarity can be at most, by lengths and first letters alone."""
+    short, long = F.least(F.length(left), F.length(right)), F.greatest(F.length(left), F.length(right))
+    jaro = (F.lit(2.0) + short / F.greatest(long, F.lit(1))) / 3
+    prefix = F.lit(0)
+    for k in range(4, 0, -1):
+        same = (F.substring(left, 1, k) == F.substring(right, 1, k)) & (short >= k)
+        prefix = F.greatest(prefix, F.when(same, F.lit(k)).otherwise(F.lit(0)))
+    return jaro + prefix * 0.1 * (1 - jaro)
+
+
 @pandas_udf(DoubleType())
 def jaro_winkler(left: pd.Series, right: pd.Series) -> pd.Series:
     return pd.Series([jaro_winkler_of(a or "", b or "") for a, b in zip(left, right)], dtype="float64")

@@ -148,5 +148,7 @@ def decode_use(df: DataFrame, codes: DataFrame, code: str) -> DataFrame:
 
 
 def add_vertices(current: DataFrame, new: DataFrame) -> DataFrame:
-    """New vertices only where their id is absent; existing ones stay as they are."""
-    return current.unionByName(new.dropDuplicates(["id"]).join(current.select("id"), "id", "left_anti"))
+    """New vertices only where their id is absent; existing ones stay as they are. Of new ones with one id the least counts."""
+    columns = [c for c in new.columns if c != "id"]
+    once = new.groupBy("id").agg(F.min(F.struct(*columns)).alias("_n")).select("id", "_n.*").select(new.columns)
+    return current.unionByName(once.join(current.select("id"), "id", "left_anti"))

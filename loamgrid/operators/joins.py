@@ -7,7 +7,7 @@ from functools import reduce
 from pyspark.sql import Column, DataFrame, Window
 from pyspark.sql import functions as F
 
-from loamgrid.functions.text import jaro_winkler
+from loamgrid.functions.text import jaro_winkler, jaro_winkler_bound
 
 
 class ConflictError(ValueError):
@@ -98,13 +98,15 @@ def fuzzy_candidates(
 ) -> DataFrame:
     """The best and next candidate of each left row by Jaro-Winkler, for review; a close next one makes it ambiguous.
 
-    Only rows of one block are compared. Distinct names are compared once and joined back.
+    Only rows of one block are compared. Distinct names of a block are compared once and joined back within it; pairs
+    whose lengths and first letters alone keep them below the threshold never reach the Python function.
     """
     names = lambda df: df.select(name, block.alias("_b")).filter(F.col(name) != "").distinct()
     pairs = names(left).join(names(right).withColumnRenamed(name, "_other"), "_b").repartition("_b", name)
-    scored = pairs.withColumn("score", jaro_winkler(name, "_other")).filter(F.col("score") >= threshold)
-    ids = right.select(F.col(name).alias("_other"), F.col(right_id).alias("candidate"))
-    both = left.select(left_id, name).join(scored, name).join(ids, "_other")
+    scored = pairs.filter(jaro_winkler_bound(F.col(name), F.col("_other")) >= threshold - 1e-9)
+    scored = scored.withColumn("score", jaro_winkler(name, "_other")).filter(F.col("score") >= threshold)
+    ids = right.select(block.alias("_b"), F.col(name).alias("_other"), F.col(right_id).alias("candidate"))
+    both = left.select(left_id, name, block.alias("_b")).join(scored, ["_b", name]).join(ids, ["_b", "_other"])
     best = both.groupBy(left_id, "candidate").agg(F.max("score").alias("score"))
     order = Window.partitionBy(left_id).orderBy(F.desc("score"), F.asc("candidate"))
     ranked = best.withColumn("_r", F.row_number().over(order)).withColumn("next_score", F.lead("score").over(order))
@@ -114,7 +116,10 @@ def fuzzy_candidates(
 
 
 def fill_null_link(rows: DataFrame, links: DataFrame, on: str, column: str) -> DataFrame:
-    """Set ``column`` from ``links`` (on, new) only where it is null."""
+    """Set ``column`` from ``links`` (on, new) only where it is null; a key with several links is an error."""
+    several = F.raise_error(F.concat(F.lit(f"several links for {on} "), F.col(on).cast("string")))
+    one = links.groupBy(on).agg(F.min("new").alias("new"), F.max("new").alias("_max"))
+    links = one.select(on, F.when(F.col("_max").isNull() | (F.col("new") == F.col("_max")), F.col("new")).otherwise(several).alias("new"))
     return rows.join(links, on, "left").withColumn(column, F.coalesce(column, "new")).drop("new")
 
 

@@ -15,6 +15,8 @@ STREET_SUFFIXES = {
     "HWY": "Hwy", "HIGHWAY": "Hwy", "PL": "Pl", "PLACE": "Pl", "TER": "Ter", "TERRACE": "Ter", "WAY": "Way", "PKWY": "Pkwy",
     "RDG": "Rdg", "RIDGE": "Rdg", "RUN": "Run", "LOOP": "Loop",
 }
+#: Lengths that wanted names may have; a company is looked up once for each.
+MOST_LENGTHS = 200
 DIRECTIONALS = ("N", "S", "E", "W", "NE", "NW", "SE", "SW")
 #: Deed codes.
 DEED_CODES = {
@@ -171,11 +173,17 @@ def one_parent_each(children: DataFrame, parents: DataFrame, key: str, parent_id
 
 def company_candidates(companies: DataFrame, wanted: DataFrame, id_: str) -> DataFrame:
     """(wanted key, ids): companies whose normalised name equals or starts with a wanted name, or whose phone or
-    licence is the wanted one, as sorted sets; tables have name, phone and licence, ``wanted`` also ``want``."""
+    licence is the wanted one, as sorted sets; tables have name, phone and licence, ``wanted`` also ``want``.
+
+    A company's name is looked up by its beginnings of the wanted names' lengths: an equi-join whatever names share.
+    """
     c = companies.select(id_, "name", "phone", "license")
     w = wanted.select("want", F.col("name").alias("_n"), F.col("phone").alias("_p"), F.col("license").alias("_l"))
-    head = lambda col: F.substring(col, 1, 4)
-    by_name = w.join(c, head("_n") == head("name")).filter(F.col("name").startswith(F.col("_n")))
+    lengths = [r[0] for r in w.filter("_n <> ''").select(F.length("_n").alias("k")).distinct().limit(MOST_LENGTHS + 1).collect()]
+    if len(lengths) > MOST_LENGTHS:
+        raise ConflictError(f"wanted names of more than {MOST_LENGTHS} lengths")
+    heads = F.array_distinct(F.array(*[F.when(F.length("name") >= k, F.substring("name", 1, k)) for k in sorted(lengths)] or [F.lit(None).cast("string")]))
+    by_name = w.join(c.select(id_, F.explode(F.array_compact(heads)).alias("_n")), "_n")
     by_phone, by_license = w.join(c, F.col("_p") == F.col("phone")), w.join(c, F.col("_l") == F.col("license"))
     hits = by_name.select("want", id_).unionByName(by_phone.select("want", id_)).unionByName(by_license.select("want", id_))
     return hits.groupBy("want").agg(F.sort_array(F.collect_set(id_)).alias("ids"))
@@ -220,12 +228,12 @@ def lexicon_faults(vertices: DataFrame, lexicon: DataFrame) -> DataFrame:
     rows = vertices.select("id", "label", F.explode_outer("props").alias("property", "value"))
     have = rows.filter("property is not null")
     known = lexicon.select("label", "property", "pattern", F.lit(True).alias("_known"))
-    checked = have.join(F.broadcast(known), ["label", "property"], "left")
+    checked = have.join(known, ["label", "property"], "left")
     fault = F.when(F.col("_known").isNull(), "unknown_property").when(~F.rlike("value", F.col("pattern")), "format")
     wrong = checked.select("id", "property", fault.alias("fault")).filter("fault is not null")
     labels = lexicon.select("label").distinct()
     strange = vertices.join(labels, "label", "left_anti").select("id", F.lit(None).cast("string").alias("property"), F.lit("unknown_label").alias("fault"))
-    need = vertices.select("id", "label").join(F.broadcast(lexicon.filter("required").select("label", "property")), "label")
+    need = vertices.select("id", "label").join(lexicon.filter("required").select("label", "property"), "label")
     lacking = need.join(have.select("id", "property"), ["id", "property"], "left_anti").select("id", "property", F.lit("required").alias("fault"))
     strange_ids = strange.select("id")
     return wrong.join(strange_ids, "id", "left_anti").unionByName(strange).unionByName(lacking)

@@ -9,6 +9,7 @@ from pyspark.sql import Column, DataFrame, SparkSession, Window
 from pyspark.sql import functions as F
 
 from loamgrid.operators.joins import ConflictError
+from loamgrid.operators.numbering import materialise, running_before
 
 
 def dedupe_first(df: DataFrame, keys: list[str], ordinal: list[Column]) -> DataFrame:
@@ -171,15 +172,34 @@ def capacity_assignment(candidates: DataFrame, item: str, slot: str, score: str,
     """(selected, overflow): each item's best slot, then the best ``capacity`` items of each slot.
 
     A greedy approximation of a minimum-cost flow, by two ranks; ``capacity`` is (slot, cap). Overflow has a reason.
+    Places in a slot's queue come from a range partitioning and counts per partition, so a slot with a third of all
+    items is ranked by many tasks. Slots must not be null.
     """
     best = Window.partitionBy(item).orderBy(F.desc(score), F.asc(slot))
     own = candidates.withColumn("_r", F.row_number().over(best)).filter("_r = 1").drop("_r")
-    queue = Window.partitionBy(slot).orderBy(F.desc(score), F.asc(item))
-    ranked = own.withColumn("place", F.row_number().over(queue)).join(F.broadcast(capacity), slot, "left")
+    order = [F.desc(score), F.asc(item)]
+    queued = materialise(own.repartitionByRange(F.col(slot), *order), "capacity-queue", with_pid=True)
+    placed = running_before(queued, [slot], order, F.lit(1).cast("bigint"), "place").withColumn("place", F.col("place") + 1)
+    ranked = placed.drop("pid").join(capacity, slot, "left")
     fits = F.col("place") <= F.coalesce("cap", F.lit(0))
     return ranked.filter(fits).drop("cap"), ranked.filter(~fits).drop("cap").withColumn("reason", F.lit("capacity"))
 
 
+def nearest_rank(df: DataFrame, group: str, value: str, shares: dict[str, float]) -> DataFrame:
+    """(group, a column per share): the least value that at least that share of the group's non-null values don't exceed.
+
+    Values are counted first; their running counts come from a range partitioning, so no task holds a group's values.
+    """
+    counts = df.filter(F.col(value).isNotNull()).groupBy(group, value).agg(F.count(F.lit(1)).alias("_n"))
+    held = materialise(counts.repartitionByRange(group, value), "rank-counts", with_pid=True)
+    before = running_before(held, [group], [F.col(value)], F.col("_n"), "_before")
+    totals = held.groupBy(group).agg(F.sum("_n").alias("_all"))
+    rows = before.join(totals, group)
+    at = lambda p: F.greatest(F.ceil(F.col("_all") * p), F.lit(1))
+    pick = lambda p: F.max(F.when((F.col("_before") < at(p)) & (at(p) <= F.col("_before") + F.col("_n")), F.col(value)))
+    return rows.groupBy(group).agg(*[pick(p).alias(name) for name, p in shares.items()])
+
+
 def min_cost_assignment(costs: list[list[float]], capacity: list[int], overflow_cost: float) -> list[int | None]:
     """The slot of each item at the least total cost, or None for overflow: successive shortest paths on the driver.
 

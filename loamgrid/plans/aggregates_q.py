@@ -160,8 +160,7 @@ def discrepancy_gate(t):
 )
 def quantiles(t):
     """Nearest-rank percentiles."""
-    disc = "percentile_disc({}) within group (order by value)"
-    return t.events.groupBy("event_type").agg(F.expr(disc.format(0.5)).alias("p50"), F.expr(disc.format(0.95)).alias("p95"))
+    return S.nearest_rank(t.events, "event_type", "value", {"p50": 0.5, "p95": 0.95})
 
 
 @query(
@@ -255,9 +254,9 @@ def facet_count(t):
     "SELECT doc_id FROM (SELECT doc_id, row_number() OVER (PARTITION BY text ORDER BY doc_id) AS r FROM documents) WHERE r = 1"
 )
 def dedupe_first(t):
-    """The first of each text: by digest, with map-side combining."""
+    """The first of each text, by digest; the rank's limit is applied before the shuffle too."""
     rows = t.documents.select("doc_id", F.sha2("text", 256).alias("h"))
-    return rows.groupBy("h").agg(F.min("doc_id").alias("doc_id")).select("doc_id")
+    return S.dedupe_first(rows, ["h"], [F.asc("doc_id")]).select("doc_id")
 
 
 @query(
@@ -272,7 +271,7 @@ def dedupe_conflicts(t):
 )
 def merge_duplicates(t):
     rows = t.lineitem.select("l_orderkey", F.col("l_partkey").alias("part"), F.struct("l_extendedprice", "l_linenumber", "l_partkey").alias("v"))
-    return rows.groupBy("l_orderkey").agg(F.max_by("part", "v").alias("part"), F.count(F.lit(1)).alias("n_sources"))
+    return S.merge_duplicates(rows, "l_orderkey", "v", "part", []).select("l_orderkey", "part", "n_sources")
 
 
 @query(

@@ -164,15 +164,18 @@ def fill_null_link_once(t):
 
 
 @query(
-    "WITH a AS (SELECT c_mktsegment AS k, min(c_custkey) AS id FROM customer WHERE c_custkey <= 4 GROUP BY 1 HAVING count(*) = 1), "
-    "b AS (SELECT c_nationkey AS k, min(c_custkey) AS id FROM customer WHERE c_custkey <= 4 GROUP BY 1 HAVING count(*) = 1) "
-    "SELECT c.c_custkey, coalesce(a.id, b.id) AS match FROM customer c LEFT JOIN a ON a.k = c.c_mktsegment LEFT JOIN b ON b.k = c.c_nationkey"
+    "WITH r AS (SELECT s_suppkey AS match, s_nationkey || '|' || floor(s_acctbal / 500)::BIGINT AS k1, (s_nationkey % 5) || '|' || floor(s_acctbal / 200)::BIGINT AS k2 FROM supplier), "
+    "a AS (SELECT k1 AS k, min(match) AS id FROM r GROUP BY 1 HAVING count(*) = 1), b AS (SELECT k2 AS k, min(match) AS id FROM r GROUP BY 1 HAVING count(*) = 1), "
+    "c AS (SELECT c_custkey, c_nationkey || '|' || floor(c_acctbal / 500)::BIGINT AS k1, (c_nationkey % 5) || '|' || floor(c_acctbal / 200)::BIGINT AS k2 FROM customer) "
+    "SELECT c_custkey, coalesce(a.id, b.id) AS match FROM c LEFT JOIN a ON a.k = c.k1 LEFT JOIN b ON b.k = c.k2"
 )
 def cross_source_match(t):
     """First key, then second as fallback; keys of several ids link nothing."""
-    right = t.customer.filter("c_custkey <= 4").select("c_mktsegment", "c_nationkey", F.col("c_custkey").alias("match"))
-    left = t.customer.select("c_custkey", "c_mktsegment", "c_nationkey")
-    return J.two_pass_match(left, right, "c_mktsegment", "c_nationkey", "match").select("c_custkey", "match")
+    key = lambda n, balance, width: F.concat_ws("|", n.cast("string"), F.floor(F.col(balance) / width).cast("string"))
+    keys = lambda n, balance: [key(F.col(n), balance, 500).alias("k1"), key(F.col(n) % 5, balance, 200).alias("k2")]
+    right = t.supplier.select(*keys("s_nationkey", "s_acctbal"), F.col("s_suppkey").alias("match"))
+    left = t.customer.select("c_custkey", *keys("c_nationkey", "c_acctbal"))
+    return J.two_pass_match(left, right, "k1", "k2", "match").select("c_custkey", "match")
 
 
 @query(

@@ -6,6 +6,7 @@ from pyspark.sql import functions as F
 from loamgrid.functions import coerce, geo
 from loamgrid.operators import shape as S
 from loamgrid.plans.registry import query
+from loamgrid.streaming import streams
 
 
 @query("SELECT c_custkey, c_name FROM customer WHERE c_custkey = 42 LIMIT 1")
@@ -162,9 +163,9 @@ def mapping_coverage(t):
     return t.part.select("p_partkey", report["ratio"].alias("ratio"), F.array_join(report["missing"], ",").alias("missing"))
 
 
-@query("SELECT doc_id, CAST(idx AS INTEGER) AS rank, w FROM (SELECT doc_id, unnest(string_split(text, ' ')) AS w, generate_subscripts(string_split(text, ' '), 1) - 1 AS idx FROM documents WHERE doc_id < 50)")
+@query("SELECT doc_id, CAST(idx AS INTEGER) AS rank, w FROM (SELECT doc_id, unnest(string_split(text, ' ')) AS w, generate_subscripts(string_split(text, ' '), 1) - 1 AS idx FROM documents)")
 def posexplode_words(t):
-    return t.documents.filter("doc_id < 50").select("doc_id", F.posexplode_outer(F.split("text", " ")).alias("rank", "w"))
+    return t.documents.select("doc_id", F.posexplode_outer(F.split("text", " ")).alias("rank", "w"))
 
 
 def _graph(t):
@@ -300,18 +301,17 @@ def event_idempotency(t):
 
 @query("SELECT CAST(epoch(time_bucket(INTERVAL 1 HOUR, ts)) AS BIGINT) // 3600 AS hour_no, event_type, count(*) AS n FROM events GROUP BY 1, 2")
 def tumbling_counts(t):
-    hours = F.datediff(F.col("ts").cast("date"), F.lit("1970-01-01")).cast("bigint") * 24 + F.hour("ts")
-    return t.events.groupBy(hours.alias("hour_no"), "event_type").agg(F.count(F.lit(1)).alias("n"))
+    counts = streams.windowed_counts(t.events.select("ts", "event_type"), "ts", "0 seconds", "1 hour", None, ["event_type"])
+    hours = F.datediff(F.col("start").cast("date"), F.lit("1970-01-01")).cast("bigint") * 24 + F.hour("start")
+    return counts.select(hours.alias("hour_no"), "event_type", "n")
 
 
 @query(
     "SELECT user_id, count(*) AS sessions FROM (SELECT user_id, ts, lag(ts) OVER (PARTITION BY user_id ORDER BY ts, event_id) AS p FROM events) WHERE p IS NULL OR ts - p > INTERVAL 12 HOUR GROUP BY 1"
 )
 def session_counts(t):
-    w = Window.partitionBy("user_id").orderBy("ts", "event_id")
-    gap = F.col("ts") - F.lag("ts").over(w)
-    starts = t.events.select("user_id", gap.alias("gap")).filter("gap is null or gap > interval '12' hour")
-    return starts.groupBy("user_id").agg(F.count(F.lit(1)).alias("sessions"))
+    found = streams.session_counts(t.events.select("ts", "user_id"), "ts", "0 seconds", "12 hours", ["user_id"])
+    return found.groupBy("user_id").agg(F.count(F.lit(1)).alias("sessions"))
 
 
 @query("SELECT conv_id, count(*) AS turns, string_agg(role, '>' ORDER BY turn) AS roles FROM conversations GROUP BY 1")

@@ -5,7 +5,7 @@ from __future__ import annotations
 from collections.abc import Callable, Iterator
 
 import pandas as pd
-from pyspark.sql import DataFrame, SparkSession
+from pyspark.sql import Column, DataFrame, SparkSession
 from pyspark.sql import functions as F
 
 
@@ -17,6 +17,11 @@ def page_plan(spark: SparkSession, max_id: int, page_size: int) -> DataFrame:
     )
 
 
+def page_of(id_: Column, page_size: int) -> Column:
+    """The page of ``page_plan`` that has the id."""
+    return F.floor((id_ - 1) / page_size).cast("bigint")
+
+
 def fetch_pages(plan: DataFrame, fetch: Callable[[int, int], Iterator[tuple]], schema: str) -> DataFrame:
     """Rows of ``fetch(after, upto)`` for each page; a page that fails is fetched again with its task."""
     names = [part.strip().split()[0] for part in schema.split(",")]

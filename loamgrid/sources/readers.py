@@ -121,7 +121,13 @@ def scan_fixed_width(spark: SparkSession, path: str) -> DataFrame:
 
 
 def scan_zip_json(spark: SparkSession, path: str) -> DataFrame:
-    """(archive, name, json) of each data/*.json in zip archives, without relationship files."""
+    """(archive, name, json) of each JSON object data/*.json in zip archives; see ``zip_json``."""
+    return zip_json(spark.read.format("binaryFile").load(path).select("path", "content"))
+
+
+def zip_json(files: DataFrame) -> DataFrame:
+    """(archive, name, json) from archives (path, content): JSON objects below data/, relationship files and content ids
+    left out, either slash parting folders."""
 
     def run(batches):
         for pdf in batches:
@@ -129,12 +135,14 @@ def scan_zip_json(spark: SparkSession, path: str) -> DataFrame:
             for archive, content in zip(pdf["path"], pdf["content"]):
                 with zipfile.ZipFile(io.BytesIO(content)) as z:
                     for name in sorted(z.namelist()):
-                        leaf = name.rsplit("/", 1)[-1]
-                        if name.startswith("data/") and leaf.endswith(".json") and not leaf.startswith(("relationship_", "baf")):
-                            out.append((archive, leaf, json.dumps(json.loads(z.read(name)))))
+                        place = name.replace("\\", "/")
+                        leaf = place.rsplit("/", 1)[-1]
+                        if place.startswith("data/") and leaf.endswith(".json") and not leaf.startswith(("relationship_", "bafk")):
+                            found = json.loads(z.read(name))
+                            if isinstance(found, dict):
+                                out.append((archive, leaf, json.dumps(found)))
             yield pd.DataFrame(out, columns=["archive", "name", "json"])
 
-    files = spark.read.format("binaryFile").load(path).select("path", "content")
     return files.mapInPandas(run, "archive string, name string, json string")
 
 

@@ -30,12 +30,13 @@ def session_counts(events: DataFrame, at: str, delay: str, gap: str, by: list[st
     return sums.select(F.col("session_window.start").alias("start"), F.col("session_window.end").alias("end"), *by, "n")
 
 
-def run_available(stream: DataFrame, sink: Callable[[DataFrame, int], None], checkpoint: str) -> None:
+def run_available(stream: DataFrame, sink: Callable[[DataFrame, int], None], checkpoint: str, mode: str = "append") -> None:
     """Process what is there, batch by batch, with replay from the checkpoint after a failure.
 
     ``sink`` gets (rows, batch id) and must be idempotent: a batch that failed is given again under its number.
     """
-    stream.writeStream.foreachBatch(sink).option("checkpointLocation", checkpoint).trigger(availableNow=True).start().awaitTermination()
+    writer = stream.writeStream.outputMode(mode).foreachBatch(sink).option("checkpointLocation", checkpoint)
+    writer.trigger(availableNow=True).start().awaitTermination()
 
 
 def idempotent_parquet_sink(path: str) -> Callable[[DataFrame, int], None]:
@@ -47,6 +48,27 @@ def idempotent_parquet_sink(path: str) -> Callable[[DataFrame, int], None]:
     return write
 
 
+def whole_parquet_sink(path: str) -> Callable[[DataFrame, int], None]:
+    """Each batch replaces the whole result, as complete output asks for."""
+    return lambda rows, batch: rows.write.mode("overwrite").parquet(path)
+
+
+def complete_transactions(changes: DataFrame, transaction: str, sequence: str, size: str) -> DataFrame:
+    """Changes of the transactions that are there in full: as many distinct sequence numbers as their rows state.
+
+    Repeated deliveries of a change count once; the rest waits for a later batch.
+    """
+    seen = changes.groupBy(transaction).agg(F.count_distinct(sequence).alias("_seen"), F.max(size).alias("_size"))
+    ready = seen.filter(F.col("_seen") >= F.col("_size")).select(transaction)
+    return changes.join(ready, transaction, "left_semi").dropDuplicates([transaction, sequence])
+
+
+def ready_only(rows: DataFrame, versions: DataFrame, key: str, version: str) -> DataFrame:
+    """Rows of the newest version of each key that is marked ready (key, version, ready); keys without one give none."""
+    newest = versions.filter("ready").groupBy(key).agg(F.max(version).alias(version))
+    return rows.join(newest, [key, version], "left_semi")
+
+
 def tombstone_state(current: DataFrame, batch: DataFrame, key: str, at: str, deleted: str) -> DataFrame:
     """The newest row of each key after a batch; keys whose newest row is a tombstone go."""
     rows = current.unionByName(batch)

@@ -193,3 +193,80 @@ def test_paged_sources(spark, tmp_path):
     assert paged.scan_partitioned(spark, f"{tmp_path}/p", ("year",), year=1).count() == 3
     with pytest.raises(ValueError):
         paged.scan_partitioned(spark, f"{tmp_path}/p", ("year",))
+
+
+def test_fuzzy_keeps_the_block(spark):
+    left = spark.createDataFrame([(1, "ACME ROOF", "A"), (2, "ACME ROOF", "B"), (3, "ZETA", "B")], "id long, name string, b string")
+    right = spark.createDataFrame([(7, "ACME ROOFS", "A"), (5, "ACME ROOF", "B")], "co long, name string, b string")
+    out = {r["id"]: (r["candidate"], r["status"]) for r in J.fuzzy_candidates(left, right, "id", "co", "name", F.col("b")).collect()}
+    assert out == {1: (7, "review"), 2: (5, "review")}
+
+
+def test_fuzzy_against_all_pairs(spark):
+    from loamgrid.functions.text import jaro_winkler_of
+
+    parts = spark.read.parquet("/root/testdata/sf0.01/part.parquet").select("p_partkey", "p_brand", F.upper("p_name").alias("name"))
+    rows = [tuple(r) for r in parts.collect()]
+    left, right = [r for r in rows if r[0] % 2 == 0], [r for r in rows if r[0] % 2]
+    block = lambda r: r[1] + r[2][:3]
+    want = set()
+    for k, brand, name in left:
+        found = [(-jaro_winkler_of(name, n), c) for c, b, n in right if block((c, b, n)) == block((k, brand, name))]
+        found = sorted(x for x in found if -x[0] >= 0.9)
+        if found:
+            close = len(found) > 1 and found[1][0] - found[0][0] < 0.05
+            want.add((k, found[0][1], round(-found[0][0], 9), "ambiguous" if close else "review"))
+    out = J.fuzzy_candidates(
+        parts.filter("p_partkey % 2 = 0"), parts.filter("p_partkey % 2 = 1").withColumnRenamed("p_partkey", "other"), "p_partkey", "other", "name",
+        F.concat("p_brand", F.substring("name", 1, 3)),
+    )
+    got = {(r["p_partkey"], r["candidate"], round(r["score"], 9), r["status"]) for r in out.collect()}
+    assert got == want and {s for *_, s in got} == {"ambiguous", "review"}
+
+
+def test_jaro_winkler_bound_holds(spark):
+    from loamgrid.functions.text import jaro_winkler_bound, jaro_winkler_of
+
+    words = ["", "A", "AB", "ABCD", "ABCDE", "ABXDEFG", "MARTHA", "MARHTA", "ZZ", "ABCDEFGHIJKLMNOP"]
+    df = spark.createDataFrame([(a, b) for a in words for b in words], "a string, b string")
+    for r in df.select("a", "b", jaro_winkler_bound(F.col("a"), F.col("b")).alias("x")).collect():
+        assert r["x"] >= jaro_winkler_of(r["a"], r["b"]) - 1e-9 or "" in (r["a"], r["b"])
+
+
+def test_fill_null_link_refuses_several(spark):
+    rows = spark.createDataFrame([(1, None), (2, 5)], "k long, c long")
+    links = lambda *pairs: spark.createDataFrame(pairs, "k long, new long")
+    got = sorted(tuple(r) for r in J.fill_null_link(rows, links((1, 7), (1, 7), (2, 9)), "k", "c").collect())
+    assert got == [(1, 7), (2, 5)]
+    with pytest.raises(Exception, match="several links"):
+        J.fill_null_link(rows, links((1, 7), (1, 8)), "k", "c").collect()
+
+
+def test_scratch_needs_a_shared_folder_on_a_cluster(spark, tmp_path):
+    from types import SimpleNamespace
+
+    from loamgrid.operators import numbering
+
+    conf = lambda **kv: SimpleNamespace(get=lambda k, d: kv.get(k.replace(".", "_"), d))
+    cluster = SimpleNamespace(conf=conf(), sparkContext=SimpleNamespace(master="spark://host:7077"))
+    with pytest.raises(RuntimeError):
+        numbering.scratch_root(cluster)
+    assert numbering.scratch_root(SimpleNamespace(conf=conf(spark_checkpoint_dir="s3://b/x/"), sparkContext=cluster.sparkContext)) == "s3://b/x"
+    held = numbering.materialise(spark.range(3), "test-discard")
+    where = spark._jvm.org.apache.hadoop.fs.Path(held._scratch_path)
+    there = lambda: where.getFileSystem(spark._jsc.hadoopConfiguration()).exists(where)
+    assert there()
+    numbering.discard(held)
+    assert not there()
+
+
+def test_nearest_rank(spark):
+    rows = [("a", float(v)) for v in [5, 1, 1, 9, 3]] + [("b", 2.0), ("c", None)]
+    out = S.nearest_rank(spark.createDataFrame(rows, "g string, v double"), "g", "v", {"p0": 0.0, "p50": 0.5, "p95": 0.95})
+    assert {tuple(r) for r in out.collect()} == {("a", 1.0, 3.0, 9.0), ("b", 2.0, 2.0, 2.0)}
+
+
+def test_hybrid_search_values(spark):
+    df = spark.createDataFrame([("part 12",), ("Part 7",), ("x",), ("",)], "t string")
+    got = {r["t"]: round(r["s"], 6) for r in df.select("t", S.hybrid_score(F.col("t"), "part 12").alias("s")).collect()}
+    assert got == {"part 12": 1.0, "Part 7": round(0.4 * 0.5 + 0.2 * (1 - 2 / 7), 6), "x": 0.0, "": 0.0}
