@@ -300,6 +300,15 @@ def window_progress(windows: DataFrame, span: str, terminal: str) -> DataFrame:
     return windows.groupBy(span).agg(F.count(F.lit(1)).alias("windows"), done.alias("terminal"), (F.count(F.lit(1)) - done).alias("split"))
 
 
+def progress_eta(windows: DataFrame, terminal: str, at: str) -> DataFrame:
+    """One row: windows, terminal ones, seconds between the first and last done, and the seconds that the rest would take."""
+    done = F.count_if(F.col(terminal))
+    stamp = F.when(F.col(terminal), F.unix_timestamp(at))
+    sums = windows.agg(F.count(F.lit(1)).alias("windows"), done.alias("terminal"), (F.max(stamp) - F.min(stamp)).alias("seconds"))
+    eta = (F.col("windows") - F.col("terminal")) * F.col("seconds") / F.nullif(F.col("terminal"), F.lit(0))
+    return sums.withColumn("eta_seconds", eta)
+
+
 def throughput(events: DataFrame, at: str, remaining: float, size: str = "60 seconds", slide: str = "30 seconds") -> DataFrame:
     """(start, n, eta_seconds): rate over sliding windows and the time that the remaining rows would take at it."""
     counts = events.groupBy(F.window(at, size, slide)).agg(F.count(F.lit(1)).alias("n"))

@@ -4,6 +4,7 @@ from __future__ import annotations
 
 import re
 from dataclasses import dataclass, field
+from functools import reduce
 
 from pyspark.sql import Column, DataFrame, SparkSession, Window
 from pyspark.sql import functions as F
@@ -18,6 +19,11 @@ def dedupe_first(df: DataFrame, keys: list[str], ordinal: list[Column]) -> DataF
     return df.withColumn("_r", rank).filter("_r = 1").drop("_r")
 
 
+def dedupe_rank(df: DataFrame, keys: list[str], ordinal: list[Column]) -> DataFrame:
+    """The rows with their rank, from 1, among those of their key."""
+    return df.withColumn("rank", F.row_number().over(Window.partitionBy(*keys).orderBy(*ordinal)))
+
+
 def conflicting_keys(df: DataFrame, keys: list[str], payload: list[str]) -> DataFrame:
     """Keys whose rows differ in the payload; identical repeats are no conflict."""
     return df.groupBy(*keys).agg(F.count_distinct(F.struct(*payload)).alias("variants")).filter("variants > 1")
@@ -249,12 +255,27 @@ class Rule:
     columns: tuple[str, ...] = field(default=())
 
 
+_LITERAL = re.compile(r"'(?:[^']|'')*'|\"[^\"]*\"")
+#: Words of a predicate that are no columns.
+_PREDICATE_WORDS = frozenset(
+    "and or not is null true false in between like ilike rlike case when then else end interval day days hour hours distinct from escape".split()
+)
+
+
+def predicate_columns(predicate: str) -> set[str]:
+    """The columns that an SQL predicate names: words outside literals that are neither functions nor operators."""
+    bare = _LITERAL.sub(" ", predicate)
+    quoted = set(re.findall(r"`([^`]+)`", bare))
+    words = re.findall(r"(?<![\w.])([A-Za-z_]\w*)(?:\.\w+)*(?!\w)(?!\s*\()", re.sub(r"`[^`]+`", " ", bare))
+    return quoted | {w for w in words if w.lower() not in _PREDICATE_WORDS}
+
+
 def compile_rules(rules: list[Rule], entity: set[str], child: set[str]) -> list[tuple[Rule, Column]]:
-    """SQL predicates as columns; a rule that names a column outside its scope fails closed, here."""
+    """SQL predicates as columns; a rule whose text or list names a column outside its scope fails closed, here."""
     out = []
     for rule in rules:
         allowed = {"entity": entity, "child": child}.get(rule.scope)
-        if allowed is None or not set(rule.columns) <= allowed:
+        if allowed is None or not set(rule.columns) | predicate_columns(rule.predicate) <= allowed:
             raise ConflictError(f"rule {rule.name} does not fit the scope {rule.scope}")
         out.append((rule, F.coalesce(F.expr(rule.predicate), F.lit(False))))
     return out
@@ -351,9 +372,101 @@ def chunk_text(docs: DataFrame, size: int, id_: str = "doc_id") -> DataFrame:
 
 
 def graph_faults(vertices: DataFrame, edges: DataFrame) -> DataFrame:
-    """(id, fault): edge ends without a vertex, repeated ids, vertices without an edge."""
+    """(id, fault): edge ends without a vertex, repeated ids, vertices without an edge; (null, empty_graph) without any vertex."""
     ends = edges.select(F.explode(F.array("src", "dst")).alias("id")).distinct()
     missing = ends.join(vertices.select("id").distinct(), "id", "left_anti").select("id", F.lit("missing_vertex").alias("fault"))
     alone = vertices.select("id").distinct().join(ends, "id", "left_anti").select("id", F.lit("isolated").alias("fault"))
     twice = vertices.groupBy("id").count().filter("count > 1").select("id", F.lit("duplicate").alias("fault"))
-    return missing.unionByName(alone).unionByName(twice)
+    none = vertices.agg(F.count(F.lit(1)).alias("n")).filter("n = 0").select(F.lit(None).cast("string").alias("id"), F.lit("empty_graph").alias("fault"))
+    return reduce(DataFrame.unionByName, (missing, alone, twice, none.select(F.col("id").cast(missing.schema["id"].dataType), "fault")))
+
+
+def endpoint_faults(edges: DataFrame, vertices: DataFrame, allowed: DataFrame) -> DataFrame:
+    """(label, src, dst, fault) of edges whose ends' labels the lexicon (label, src_label, dst_label) does not allow.
+
+    An edge label that the lexicon lacks is ``unknown_label``; ends without a vertex are left to ``graph_faults``.
+    """
+    end = lambda name: vertices.select(F.col("id").alias(name), F.col("label").alias(f"{name}_label"))
+    labelled = edges.join(end("src"), "src").join(end("dst"), "dst")
+    known = allowed.select("label").distinct().withColumn("_known", F.lit(True))
+    fits = allowed.select("label", "src_label", "dst_label").distinct().withColumn("_fits", F.lit(True))
+    checked = labelled.join(known, "label", "left").join(fits, ["label", "src_label", "dst_label"], "left")
+    fault = F.when(F.col("_known").isNull(), "unknown_label").when(F.col("_fits").isNull(), "endpoint_labels")
+    return checked.select("label", "src", "dst", fault.alias("fault")).filter("fault is not null")
+
+
+#: Weights of the signals of ``hybrid_signals``.
+SIGNAL_WEIGHTS = {
+    "exact": 0.25, "normal": 0.15, "overlap": 0.15, "near": 0.1, "acronym": 0.05, "vector": 0.15, "metadata": 0.1, "recency": 0.05,
+}
+
+
+def hybrid_signals(text: Column, query: str, vector: Column, metadata: Column, age_days: Column, half_life: float = 90.0) -> dict[str, Column]:
+    """The signals in [0, 1] of a text against a query: exact and normalised match, token overlap, edit distance, the
+    query as the text's initials, vector similarity, metadata match, and recency that halves every ``half_life`` days.
+
+    A null signal counts 0. Combine them with ``SIGNAL_WEIGHTS``.
+    """
+    squeezed = lambda c: F.trim(F.regexp_replace(F.lower(c), "[^a-z0-9]+", " "))
+    plain = re.sub(r"[^a-z0-9]+", " ", query.lower()).strip()
+    asked = sorted(set(plain.split()))
+    own = F.split(squeezed(text), " ")
+    initials = F.array_join(F.transform(own, lambda w: F.substring(w, 1, 1)), "")
+    number = lambda test: F.coalesce(test, F.lit(False)).cast("double")
+    near = 1 - F.levenshtein(squeezed(text), F.lit(plain)) / F.greatest(F.length(squeezed(text)), F.lit(len(plain)), F.lit(1))
+    none = lambda c: F.coalesce(c, F.lit(0.0))
+    return {
+        "exact": number(text == query),
+        "normal": number(squeezed(text) == plain),
+        "overlap": none(F.size(F.array_intersect(own, F.array(*map(F.lit, asked)))) / F.lit(float(max(1, len(asked))))),
+        "near": none(near),
+        "acronym": number(initials == plain.replace(" ", "")),
+        "vector": none(F.greatest(vector, F.lit(0.0))),
+        "metadata": number(metadata),
+        "recency": none(F.pow(F.lit(0.5), F.greatest(age_days, F.lit(0)) / half_life)),
+    }
+
+
+def hybrid_rank(rows: DataFrame, signals: dict[str, Column], id_: str, most: int, weights: dict[str, float] = SIGNAL_WEIGHTS) -> DataFrame:
+    """(id, score, band): signals combined by weight, best first, ties by id."""
+    score = F.round(weighted(*[(weights[k], c) for k, c in signals.items()]), 6)
+    scored = rows.select(id_, score.alias("score"))
+    return scored.withColumn("band", confidence_band(F.col("score"))).orderBy(F.desc("score"), id_).limit(most)
+
+
+def top_k_recall(ranked: DataFrame, relevant: DataFrame, by: list[str], k: int) -> DataFrame:
+    """One row: the share of relevant rows that are among the first ``k`` of their query; ``ranked`` has rank from 1."""
+    hits = relevant.join(ranked.filter(F.col("rank") <= k).select(*by).withColumn("_hit", F.lit(True)), by, "left")
+    return hits.agg((F.count("_hit") / F.nullif(F.count(F.lit(1)), F.lit(0))).alias("recall"))
+
+
+def recent_contacts(contacts: DataFrame, key: str, kind: str, at: str, now: str, days: int = 14) -> DataFrame:
+    """(key, penalty): the contact penalty of calls, texts, emails and letters in the ``days`` days up to ``now``."""
+    end = F.lit(now).cast(contacts.schema[at].dataType)
+    kept = contacts.filter((F.col(at) > end - F.expr(f"INTERVAL '{days}' DAY")) & (F.col(at) <= end))
+    n = lambda k: F.count_if(F.col(kind) == k)
+    return kept.groupBy(key).agg(recent_contact_penalty(n("call"), n("text"), n("email"), n("letter")).alias("penalty"))
+
+
+def discrepancy_gate(rows: DataFrame, measured: str, stated: str, most_percent: float, explanation: str, approved: str) -> DataFrame:
+    """Rows with their discrepancy in percent of the stated value and a verdict.
+
+    Within the limit PASS; beyond it EXPLAINED with an explanation, EXCEPTION with an approved exception, else BLOCKED; no
+    stated value to compare with is BLOCKED too.
+    """
+    percent = F.abs(F.col(measured) - F.col(stated)) * 100 / F.nullif(F.col(stated).cast("double"), F.lit(0.0))
+    told = F.length(F.trim(F.coalesce(F.col(explanation), F.lit("")))) > 0
+    verdict = (
+        F.when(F.col("percent") <= most_percent, "PASS")
+        .when(F.coalesce(F.col(approved), F.lit(False)), "EXCEPTION")
+        .when(F.col("percent").isNotNull() & told, "EXPLAINED")
+        .otherwise("BLOCKED")
+    )
+    return rows.withColumn("percent", percent).withColumn("verdict", verdict)
+
+
+def assignment_summary(read: DataFrame, selected: DataFrame, overflow: DataFrame) -> DataFrame:
+    """(measure, n): inputs read, actions selected, and what was left over by reason."""
+    count = lambda df, name: df.agg(F.count(F.lit(1)).alias("n")).select(F.lit(name).alias("measure"), "n")
+    left = overflow.groupBy(F.concat(F.lit("dropped: "), "reason").alias("measure")).agg(F.count(F.lit(1)).alias("n"))
+    return count(read, "inputs read").unionByName(count(selected, "actions selected")).unionByName(left)

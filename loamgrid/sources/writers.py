@@ -41,6 +41,13 @@ def verify_manifest(spark: SparkSession, path: str, expected: DataFrame) -> Data
     return both.select("path", fault.alias("fault")).filter("fault is not null")
 
 
+def shard_index(shards: DataFrame, key: str) -> DataFrame:
+    """(shard, first, last, documents, content_id): the index of ``json_shards``, a digest over each shard's content ids in order."""
+    ids = F.transform(F.sort_array(F.collect_list(F.struct(key, "content_id"))), lambda s: s["content_id"])
+    sums = shards.groupBy("shard").agg(F.min(key).alias("first"), F.max(key).alias("last"), F.count(F.lit(1)).alias("documents"), ids.alias("_ids"))
+    return sums.select("shard", "first", "last", "documents", F.sha2(F.array_join("_ids", ""), 256).alias("content_id"))
+
+
 def json_shards(df: DataFrame, key: str, per_shard: int = 10_000) -> DataFrame:
     """(key, shard, document, content_id): one JSON document per row, in shards of so many by rank of the key.
 

@@ -30,6 +30,22 @@ def session_counts(events: DataFrame, at: str, delay: str, gap: str, by: list[st
     return sums.select(F.col("session_window.start").alias("start"), F.col("session_window.end").alias("end"), *by, "n")
 
 
+def joined_streams(left: DataFrame, right: DataFrame, key: str, at: str, within: str, delay: str) -> DataFrame:
+    """Pairs of left and right events (key, at, id) of one key, the right one up to ``within`` after the left one.
+
+    Both watermarks and the time bound let the state of old events go.
+    """
+    a, b = (df.withWatermark(at, delay).alias(n) for df, n in ((left, "a"), (right, "b")))
+    near = F.expr(f"a.{key} = b.{key} AND b.{at} >= a.{at} AND b.{at} <= a.{at} + INTERVAL {within}")
+    return a.join(b, near).select(F.col("a.id").alias("left_id"), F.col("b.id").alias("right_id"))
+
+
+def run_every(stream: DataFrame, sink: Callable[[DataFrame, int], None], checkpoint: str, interval: str):
+    """A query that publishes on its own every ``interval``; the caller stops it."""
+    writer = stream.writeStream.foreachBatch(sink).option("checkpointLocation", checkpoint)
+    return writer.trigger(processingTime=interval).start()
+
+
 def run_available(stream: DataFrame, sink: Callable[[DataFrame, int], None], checkpoint: str, mode: str = "append") -> None:
     """Process what is there, batch by batch, with replay from the checkpoint after a failure.
 

@@ -270,3 +270,30 @@ def test_hybrid_search_values(spark):
     df = spark.createDataFrame([("part 12",), ("Part 7",), ("x",), ("",)], "t string")
     got = {r["t"]: round(r["s"], 6) for r in df.select("t", S.hybrid_score(F.col("t"), "part 12").alias("s")).collect()}
     assert got == {"part 12": 1.0, "Part 7": round(0.4 * 0.5 + 0.2 * (1 - 2 / 7), 6), "x": 0.0, "": 0.0}
+
+
+def test_predicates_name_their_columns():
+    assert S.predicate_columns("a > 0 AND lower(`b c`) = 'x y' OR coalesce(d.e, 1) IN (1, 2) AND f IS NOT NULL") == {"a", "b c", "d", "f"}
+    with pytest.raises(J.ConflictError):
+        S.compile_rules([S.Rule("bad", "entity", "a > 0 and x = 1")], {"a"}, {"x"})
+
+
+def test_empty_graph_is_a_fault(spark):
+    empty = spark.createDataFrame([], "id string, label string")
+    edges = spark.createDataFrame([], "label string, src string, dst string")
+    assert [tuple(r) for r in S.graph_faults(empty, edges).collect()] == [(None, "empty_graph")]
+
+
+def test_publish_tick(spark, tmp_path):
+    import time
+
+    from loamgrid.streaming import streams
+
+    spark.range(5).write.parquet(f"{tmp_path}/in")
+    stream = streams.event_stream(spark, f"{tmp_path}/in", "id bigint")
+    running = streams.run_every(stream, streams.idempotent_parquet_sink(f"{tmp_path}/out"), f"{tmp_path}/c", "1 second")
+    until = time.time() + 60
+    while time.time() < until and not (tmp_path / "out" / "batch=0" / "_SUCCESS").exists():
+        time.sleep(0.5)
+    running.stop()
+    assert spark.read.parquet(f"{tmp_path}/out").count() == 5
