@@ -16,7 +16,7 @@ import pyarrow as pa
 from pyspark.sql import DataFrame
 from pyspark.sql import functions as F
 
-from loamgrid.llm.common import materialise, slices, stable_rows
+from loamgrid.llm.common import discard, materialise, slices, stable_rows
 
 #: The payload's unit: it is padded with bytes 0 to a positive multiple.
 UNIT = 64
@@ -231,7 +231,9 @@ def store_media(docs: DataFrame, cuts: Cuts = Cuts()) -> MediaStore:
     first = lambda c: F.first(c).alias(c)
     lists = refs.filter(several).groupBy("media", "seq").agg(first("digest"))
     documents = refs.filter("seq = 0").select("doc_id", "n_bytes", "media")
-    return MediaStore(materialise(chunks, "media-chunks"), materialise(lists, "media-lists"), documents)
+    store = MediaStore(materialise(chunks, "media-chunks"), materialise(lists, "media-lists"), documents)
+    discard(both, repeated, notes)
+    return store
 
 
 def media_features(store: MediaStore) -> DataFrame:

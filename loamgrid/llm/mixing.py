@@ -17,7 +17,7 @@ from itertools import accumulate
 from pyspark.sql import Column, DataFrame
 from pyspark.sql import functions as F
 
-from loamgrid.llm.common import materialise, running_before
+from loamgrid.llm.common import discard, materialise, running_before
 
 #: Seats that are awarded one by one at most, besides about one for each source; those before come in closed form.
 MAX_BLOCKS = 1 << 16
@@ -181,6 +181,7 @@ def mix_documents(
     spread = F.xxhash64(F.lit(seed), F.col("doc_id"), F.col("size"))
     ranged = coded.withColumn("_h", spread).repartitionByRange("code", "_h", "doc_id")
     held = materialise(ranged, "mix-order", with_pid=True)
+    discard(counted)
     out = running_before(held, ["code"], [F.col("_h"), F.col("doc_id"), F.col("size")], F.col("size"), "start")
     orders = sources.select("code", "a", "c", "n_blocks", "ends")
     out = out.join(F.broadcast(orders) if few else orders, "code")

@@ -17,7 +17,7 @@ import xxhash
 from pyspark.sql import DataFrame
 from pyspark.sql import functions as F
 
-from loamgrid.llm.common import materialise, running_before, slices, word_parts
+from loamgrid.llm.common import discard, materialise, running_before, slices, word_parts
 
 #: Labelled target documents that the target model is fitted on at most (those of the least seeded hashes).
 MAX_TARGET_DOCS = 20_000
@@ -147,7 +147,9 @@ def resample_documents(
 
     scored = chosen.mapInArrow(run, "doc_id bigint, n_words bigint, log_weight double, key double")
     order = [F.desc("key"), F.asc("doc_id")]
-    held = materialise(materialise(scored, "resample-scores").repartitionByRange(*order), "resample-order", with_pid=True)
+    scores = materialise(scored, "resample-scores")
+    held = materialise(scores.repartitionByRange(*order), "resample-order", with_pid=True)
+    discard(scores)
     k = round((model.share if share is None else share) * held.count())
     ranked = running_before(held.withColumn("_all", F.lit(0)), ["_all"], order, F.lit(1).cast("bigint"), "rank")
     ranked = ranked.withColumn("rank", F.col("rank") + 1)

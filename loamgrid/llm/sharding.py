@@ -12,7 +12,7 @@ from itertools import accumulate
 from pyspark.sql import Column, DataFrame
 from pyspark.sql import functions as F
 
-from loamgrid.llm.common import materialise, running_before
+from loamgrid.llm.common import discard, materialise, running_before
 
 #: Groups that the driver packs by name: those above 1/LARGE of a shard's even share of bytes, or of rows, at most
 #: 2 * shards * LARGE. The others are packed as counts per size.
@@ -191,5 +191,6 @@ def shard_documents(docs: DataFrame, n_shards: int = 16) -> DataFrame:
     one = parted.filter("n_parts is null").join(homes, "group_sha256").select(columns)
     two = parted.filter("n_parts is not null").join(of_large, ["group_sha256", "part"]).select(columns)
     out = materialise(one.unionByName(two), "shard-placed")
+    discard(rows, groups)
     order = [F.col("doc_id"), F.col("group_sha256"), F.col("row")]
     return running_before(out, ["shard"], order, F.lit(1).cast("bigint"), "slot").drop("pid", "row")

@@ -325,5 +325,6 @@ def near_duplicates(docs: DataFrame, radius: int = RADIUS) -> DataFrame:
         "fp", F.coalesce("label", "rep").alias("component_id")
     )
     named = materialise(named, "simhash-named")
+    discard(nodes)
     hexed = F.lower(F.lpad(F.hex("fp"), 16, "0")).alias("fingerprint")
     return prints.join(named, "fp").select("doc_id", hexed, "component_id")

@@ -177,7 +177,9 @@ def filter_urls(
         .groupBy("src", "dst")
         .agg(F.count(F.lit(1)).cast("double").alias("w"))
     )
-    scores = whole(propagate(materialise(edges, "url-edges"), seeds, damping, rounds, tolerance, strict=True))
+    links = materialise(edges, "url-edges")
+    scores = whole(propagate(links, seeds, damping, rounds, tolerance, strict=True))
+    discard(links)
     scored = judged.join(scores, "host", "left")
     doubt = F.col("distrust") > most_distrust * (F.col("trust") + F.col("distrust"))
     own = F.when(doubt, F.lit("block")).otherwise(F.lit("allow"))
