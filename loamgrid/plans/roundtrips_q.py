@@ -7,7 +7,7 @@ import pandas as pd
 from pyspark.sql import functions as F
 
 from loamgrid.functions import geo, text
-from loamgrid.operators import flatten, joins, records
+from loamgrid.operators import flatten, joins, permits, records
 from loamgrid.operators.numbering import scratch_path
 from loamgrid.plans.registry import query
 from loamgrid.sources import paged, readers, writers
@@ -325,3 +325,69 @@ def ready_gate(t):
     versions = t.customer.select(F.col("c_custkey").alias("k"), F.col("c_nationkey").cast("bigint").alias("version"), (F.col("c_nationkey") % 3 > 0).alias("ready"))
     rows = t.orders.select("o_orderkey", F.col("o_custkey").alias("k"), (F.col("o_orderkey") % 25).alias("version"))
     return streams.ready_only(rows, versions, "k", "version").select("o_orderkey")
+
+
+def _registry(t):
+    """Registry lines of customers as companies: an agent for all, two officers for some, shared addresses."""
+    key = F.format_string("%012d", "c_custkey")
+    place = F.concat(F.lit("1 Main Street "), (F.col("c_custkey") % 40).cast("string"))
+    chief = F.when(F.col("c_custkey") % 2 == 0, F.lit("LEE ANN"))
+    rows = t.customer.select(
+        key.alias("k"), "c_name", place.alias("place"), F.lit("Town").alias("town"), F.when(F.col("c_custkey") % 3 == 0, F.lit("PO BOX 1")).alias("mail"),
+        F.lit("AGENT CO").alias("agent"), chief.alias("chief"), F.when(chief.isNotNull(), F.lit("2 Oak Road")).alias("oak"), F.lit("P").alias("title"),
+        F.when(F.col("c_custkey") % 4 == 0, F.lit("ROE BO")).alias("second"),
+    )
+    fields = {"documentNumber": "k", "entityName": "c_name", "address1": "place", "city": "town", "mailAddress1": "mail", "registeredAgentName": "agent"}
+    lines = readers.format_fixed_width(rows, fields, ({"name": "chief", "title": "title", "address": "oak"}, {"name": "second"}))
+    return readers.parse_fixed_width(lines)
+
+
+@query(
+    "SELECT printf('%012d', c_custkey) AS document, CAST(CASE WHEN c_custkey % 4 = 0 THEN 2 WHEN c_custkey % 2 = 0 THEN 1 ELSE 0 END AS BIGINT) AS officers, "
+    "CASE WHEN c_custkey % 2 = 0 THEN 'P LEE ANN 2 Oak Road' END AS first_officer FROM customer"
+)
+def registry_officers(t):
+    first = F.get("officers", F.lit(0))
+    shown = F.when(first.isNotNull(), F.concat_ws(" ", first["title"], first["name"], first["address"]))
+    return _registry(t).select(F.col("documentNumber").alias("document"), F.size("officers").cast("bigint").alias("officers"), shown.alias("first_officer"))
+
+
+@query(
+    "WITH c AS (SELECT *, (c_custkey % 2 = 0)::INT AS chief, (c_custkey % 4 = 0)::INT AS second, (c_custkey % 3 = 0)::INT AS mail FROM customer) "
+    "SELECT 'company' AS label, count(*)::BIGINT AS n FROM c UNION ALL SELECT 'business_registration', count(*)::BIGINT FROM c UNION ALL "
+    "SELECT 'business_registration_address', (count(*) + sum(mail))::BIGINT FROM c UNION ALL SELECT 'business_registration_party', (count(*) + sum(chief + second))::BIGINT FROM c UNION ALL "
+    "SELECT 'address', (count(DISTINCT c_custkey % 40) + max(mail) + max(chief))::BIGINT FROM c UNION ALL "
+    "SELECT 'company_has_business_registration', count(*)::BIGINT FROM c UNION ALL SELECT 'business_registration_has_address', (count(*) + sum(mail))::BIGINT FROM c UNION ALL "
+    "SELECT 'business_registration_address_has_address', (count(*) + sum(mail))::BIGINT FROM c UNION ALL SELECT 'business_registration_has_party', (count(*) + sum(chief + second))::BIGINT FROM c UNION ALL "
+    "SELECT 'business_registration_party_has_address', sum(chief)::BIGINT FROM c"
+)
+def registry_graph(t):
+    """Five classes and five relationships, each vertex and edge once."""
+    vertices, edges = permits.registry_graph(_registry(t))
+    return vertices.groupBy("label").agg(F.count(F.lit(1)).alias("n")).unionByName(edges.groupBy("label").agg(F.count(F.lit(1)).alias("n")))
+
+
+@query(
+    "SELECT substr(sha256('duval' || chr(0) || 'metro' || chr(0) || o_orderkey), 1, 32) AS property_improvement_id, substr(printf('%010d', o_custkey), 1, 6) || '-' || substr(printf('%010d', o_custkey), 7) AS parcel_identifier, "
+    "'E-' || o_orderkey AS permit_number, CASE WHEN o_orderkey % 3 = 0 THEN 'Electrical' ELSE 'E' END AS improvement_type, "
+    "CASE o_orderstatus WHEN 'F' THEN 'Finalized' WHEN 'O' THEN 'Expired' ELSE 'Status 9' END AS improvement_status, strftime(o_orderdate, '%Y-%m-%d') AS permit_issue_date, "
+    "CASE WHEN o_orderstatus = 'F' THEN strftime(o_orderdate + INTERVAL 5 DAY, '%Y-%m-%d') END AS permit_close_date, CASE WHEN o_orderstatus = 'O' THEN strftime(o_orderdate + INTERVAL 5 DAY, '%Y-%m-%d') END AS expiration_date, "
+    "round(o_totalprice, 2) AS estimated_job_value, o_orderkey || ' OAK ST, ' || CASE WHEN o_orderkey % 5 = 0 THEN '#7, ' ELSE '' END || 'METRO, FL, 32246' AS work_address FROM orders"
+)
+def permits_of_map_features(t):
+    """Features of a map service as permit rows."""
+    key = F.col("o_orderkey").cast("string")
+    stamp = lambda days: (F.datediff(F.date_add(F.col("o_orderdate").cast("date"), days), F.lit("1970-01-01")).cast("bigint") * 86_400_000)
+    none = F.lit(None).cast("bigint")
+    features = t.orders.select(
+        F.col("o_orderkey").alias("RecordID"), none.alias("OBJECTID"), F.format_string("%06d %04d", (F.col("o_custkey") / 10000).cast("bigint"), F.col("o_custkey") % 10000).alias("RE"),
+        F.concat(F.lit("E-"), key).alias("FullPermitNumber"), F.when(F.col("o_orderkey") % 3 == 0, F.lit(2)).otherwise(7).alias("PermitTypeID"),
+        F.when(F.col("o_orderstatus") == "F", 23).when(F.col("o_orderstatus") == "O", 4).otherwise(9).alias("Status"), F.lit("New").alias("TypeOfWork"),
+        stamp(0).alias("DateEntered"), stamp(5).alias("DateUpdated"), none.alias("DateLastInspection"), none.alias("PaidDay"),
+        F.concat(key, F.lit(" OAK ST")).alias("ADDR"), F.when(F.col("o_orderkey") % 5 == 0, F.lit("7")).otherwise(" ").alias("APTNUM"), F.lit(None).cast("string").alias("CITY"),
+        F.lit("32246").alias("ZIPCODE"), F.lit("Home").alias("ProposedUseDesc"), F.lit("").alias("Comments"), F.col("o_totalprice").cast("decimal(18,2)").alias("TotalCost"),
+        F.lit("Acme").alias("CompanyName"), none.alias("AssociatePermitID"),
+    )
+    out = permits.permits_of_features(features, {23: "Finalized", 4: "Expired"}, {2: "Electrical"}, "Duval", "metro", "map", "METRO", "FL")
+    names = ["property_improvement_id", "parcel_identifier", "permit_number", "improvement_type", "improvement_status", "permit_issue_date"]
+    return out.select(*names, "permit_close_date", "expiration_date", "estimated_job_value", "work_address")

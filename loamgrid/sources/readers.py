@@ -104,13 +104,19 @@ def parse_fixed_width(lines: DataFrame, column: str = "value") -> DataFrame:
     return lines.select(*fields, named.alias("officers")).filter("documentNumber is not null")
 
 
-def format_fixed_width(rows: DataFrame, fields: dict[str, str]) -> DataFrame:
-    """A registry line from columns by field name, for round trips; other fields are blank."""
+def format_fixed_width(rows: DataFrame, fields: dict[str, str], officers: tuple[dict[str, str], ...] = ()) -> DataFrame:
+    """A registry line from columns by field name, for round trips; other fields are blank.
+
+    ``officers`` has the columns of each officer by officer field, six at most.
+    """
     out, at = [], 1
-    for name, start, n in REGISTRY_FIELDS:
+    places = [(name, start, n, fields) for name, start, n in REGISTRY_FIELDS]
+    for first, own in zip(OFFICER_STARTS, officers):
+        places += [(name, first + start, n, own) for name, start, n in OFFICER_FIELDS]
+    for name, start, n, given in places:
         if start > at:
             out.append(F.lit(" " * (start - at)))
-        value = F.coalesce(F.col(fields[name]).cast("string"), F.lit("")) if name in fields else F.lit("")
+        value = F.coalesce(F.col(given[name]).cast("string"), F.lit("")) if name in given else F.lit("")
         out.append(F.rpad(value, n, " "))
         at = start + n
     return rows.select(F.concat(*out).alias("value"))
