@@ -25,6 +25,8 @@ STREET_FORMS = {
     "STREET": "ST", "AVENUE": "AVE", "DRIVE": "DR", "ROAD": "RD", "BOULEVARD": "BLVD", "PARKWAY": "PKWY", "LANE": "LN",
     "COURT": "CT", "PLACE": "PL", "NORTH": "N", "SOUTH": "S", "EAST": "E", "WEST": "W",
 }
+#: How prose states a licence number.
+LICENSE_PROSE = r"(?i)license number of\s+([A-Z0-9][A-Z0-9-]{3,30})"
 #: Texts that are no alternate name.
 NOT_A_NAME = (
     r"(?i)additional|business categor|contact information|copyright|department of business|licens(?:e|ing)|phone number"
@@ -84,7 +86,7 @@ def license_number(value: Column) -> Column:
 
 def license_numbers_in(text: Column) -> Column:
     """The distinct licence numbers named in free text."""
-    found = F.regexp_extract_all(text, F.lit(r"(?i)license number of\s+([A-Z0-9][A-Z0-9-]{3,30})"), F.lit(1))
+    found = F.regexp_extract_all(text, F.lit(LICENSE_PROSE), F.lit(1))
     return F.array_distinct(F.array_compact(F.transform(found, license_number)))
 
 

@@ -63,10 +63,11 @@ def latest_conflicts(df: DataFrame, key: str, at: str, payload: list[str]) -> Da
 
 
 def latest_join(left: DataFrame, right: DataFrame, on: str, at: str, payload: list[str], check: bool = True) -> DataFrame:
-    """Left rows with the payload of their latest right row; tied rows that differ are an error."""
+    """Left rows with the payload of their latest right row; tied rows that differ are an error, or without ``check`` the
+    greatest payload counts."""
     if check and not latest_conflicts(right, on, at, payload).isEmpty():
         raise ConflictError(f"rows of one {on} tie on {at} and differ")
-    top = right.groupBy(on).agg(F.max_by(F.struct(*payload), at).alias("_top"), F.max(at).alias(at))
+    top = right.groupBy(on).agg(F.max(F.struct(F.col(at).alias("_at"), F.struct(*payload).alias("p")))["p"].alias("_top"), F.max(at).alias(at))
     return left.join(top, on, "left").select(left["*"], at, "_top.*")
 
 

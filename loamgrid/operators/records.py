@@ -82,6 +82,10 @@ DEED_PATTERNS = (
 )
 
 
+#: What ends the leading code of a deed, and the code itself.
+DEED_CODE_END, DEED_CODE = "[-:]", r"^[^:-]+[:-]\s*"
+
+
 def label_map(labels: dict[str, str]) -> Column:
     return F.create_map(*[F.lit(x) for pair in labels.items() for x in pair])
 
@@ -114,8 +118,8 @@ def street_parts(value: Column) -> Column:
 def deed_type(instrument: Column) -> Column:
     """The deed's type: by a leading code, else by the first pattern that its text fits."""
     raw = to_text(instrument)
-    code = F.upper(F.trim(F.element_at(F.split(raw, "[-:]"), 1)))
-    source = F.lower(F.concat_ws(" ", F.regexp_replace(raw, r"^[^:-]+[:-]\s*", ""), raw))
+    code = F.upper(F.trim(F.element_at(F.split(raw, DEED_CODE_END), 1)))
+    source = F.lower(F.concat_ws(" ", F.regexp_replace(raw, DEED_CODE, ""), raw))
 
     def by_words(s: Column) -> Column:
         out = F.when(s.contains("agreement") & s.contains("deed"), "Contract for Deed").otherwise("Miscellaneous")

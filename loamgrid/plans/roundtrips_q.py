@@ -6,7 +6,7 @@ import zipfile
 import pandas as pd
 from pyspark.sql import functions as F
 
-from loamgrid.functions import geo, text
+from loamgrid.functions import geo, owners, text
 from loamgrid.operators import flatten, joins, permits, records
 from loamgrid.operators.numbering import scratch_path
 from loamgrid.plans.registry import query
@@ -391,3 +391,16 @@ def permits_of_map_features(t):
     out = permits.permits_of_features(features, {23: "Finalized", 4: "Expired"}, {2: "Electrical"}, "Duval", "metro", "map", "METRO", "FL")
     names = ["property_improvement_id", "parcel_identifier", "permit_number", "improvement_type", "improvement_status", "permit_issue_date"]
     return out.select(*names, "permit_close_date", "expiration_date", "estimated_job_value", "work_address")
+
+
+@query(
+    "SELECT c_custkey, CASE c_custkey % 4 WHEN 0 THEN 'person:Mary Ann Smith-Jones,Jr.;company:' || upper(c_name) || ' LLC' WHEN 1 THEN 'company:SMITH & SONS HOLDINGS' "
+    "WHEN 2 THEN 'person:Dr.,John Q Public;person:Jane Doe' ELSE '' END AS owners FROM customer"
+)
+def parsed_owners(t):
+    """Companies and persons of an owner field, with titles, repeats and parties that are neither."""
+    k = F.col("c_custkey") % 4
+    raw = F.when(k == 0, F.concat(F.lit("SMITH-JONES, MARY  ANN JR & "), F.upper("c_name"), F.lit(" LLC and smith-jones, mary ann jr")))
+    raw = raw.when(k == 1, F.lit(" SMITH & SONS HOLDINGS")).when(k == 2, F.lit("DR PUBLIC, JOHN Q & DOE JANE & X")).otherwise(F.lit("4711"))
+    shown = lambda o: F.concat(o["kind"], F.lit(":"), F.concat_ws(",", o["prefix"], o["name"], o["suffix"]))
+    return t.customer.select("c_custkey", F.array_join(F.transform(owners.parse_owners(raw), shown), ";").alias("owners"))

@@ -76,7 +76,9 @@ def complete_transactions(changes: DataFrame, transaction: str, sequence: str, s
     """
     seen = changes.groupBy(transaction).agg(F.count_distinct(sequence).alias("_seen"), F.max(size).alias("_size"))
     ready = seen.filter(F.col("_seen") >= F.col("_size")).select(transaction)
-    return changes.join(ready, transaction, "left_semi").dropDuplicates([transaction, sequence])
+    rest = [c for c in changes.columns if c not in (transaction, sequence)]
+    once = changes.join(ready, transaction, "left_semi").groupBy(transaction, sequence).agg(F.min(F.struct(*rest)).alias("_r"))
+    return once.select(transaction, sequence, "_r.*").select(changes.columns)
 
 
 def ready_only(rows: DataFrame, versions: DataFrame, key: str, version: str) -> DataFrame:

@@ -102,3 +102,20 @@ def test_geometry(spark):
         assert r["a"] == r["b"] == points[r["x"], r["y"]]
     with pytest.raises(ValueError):
         geo.in_polygon(F.col("x"), F.col("y"), ring[:2])
+
+
+def test_owners(spark):
+    from loamgrid.functions import owners
+
+    cases = {
+        "O'BRIEN, PAT": [("person", "Pat", None, "O'Brien", None, None)],
+        "MR. DOE, JOHN A. III": [("person", "John", "A", "Doe", "Mr.", "III")],
+        "DOE JANE": [("person", "Jane", None, "Doe", None, None)],
+        "FIRST BANK & TRUST": [("company", None, None, None, None, None)] * 2,
+        "CITY OF OZ": [("company", None, None, None, None, None)],
+        "PRINCE": [],
+        "": [],
+    }
+    df = spark.createDataFrame([*[(c,) for c in cases], (None,)], "v string").select("v", owners.parse_owners(F.col("v")).alias("o"))
+    got = {r["v"]: [(o["kind"], o["first"], o["middle"], o["last"], o["prefix"], o["suffix"]) for o in r["o"]] for r in df.collect()}
+    assert got == {**cases, None: []}
