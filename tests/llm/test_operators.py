@@ -654,7 +654,7 @@ def test_url_filter_on_many_linked_hosts(spark):
     host = lambda i: F.concat(F.lit("h"), i.cast("string"), F.when(i % 50 == 0, ".org").when(i % 37 == 0, ".net").otherwise(".com"))
     links = F.concat(*[F.concat(F.lit('<a href="http://'), host(to(k)), F.lit('/">x</a>')) for k in range(per)])
     pages = spark.range(n).select(F.col("id").alias("page_id"), F.concat(F.lit("http://"), host(F.col("id")), F.lit("/fr/")).alias("url"), links.alias("html"))
-    got = sorted(url_filter.filter_urls(pages, tolerance=1e-4).select("page_id", "verdict", "trust", "distrust").collect())
+    got = sorted(url_filter.filter_urls(pages, damping=0.5, tolerance=1e-4).select("page_id", "verdict", "trust", "distrust").collect())
     i = np.arange(n, dtype=np.int64)
     pairs = np.unique(np.concatenate([np.stack([i, (i * (2 * k + 3) * 7919 + i * i * (k + 1)) % n]) for k in range(per)], axis=1), axis=1)
     src, dst = pairs[:, pairs[0] != pairs[1]]
@@ -663,8 +663,8 @@ def test_url_filter_on_many_linked_hosts(spark):
     t0, d0 = good / good.sum(), bad / bad.sum()
     t, d = t0, d0
     for _ in range(200):
-        t = 0.15 * t0 + 0.85 * np.bincount(dst, (t / np.maximum(out, 1))[src], n)
-        d = 0.15 * d0 + 0.85 * np.bincount(src, (d / np.maximum(into, 1))[dst], n)
+        t = 0.5 * t0 + 0.5 * np.bincount(dst, (t / np.maximum(out, 1))[src], n)
+        d = 0.5 * d0 + 0.5 * np.bincount(src, (d / np.maximum(into, 1))[dst], n)
     t, d = t / t.sum(), d / d.sum()
     trust, distrust = np.array([r["trust"] for r in got]), np.array([r["distrust"] for r in got])
     assert np.allclose(trust, t, rtol=2e-3, atol=1e-12) and np.allclose(distrust, d, rtol=2e-3, atol=1e-12)
