@@ -12,24 +12,25 @@ from __future__ import annotations
 
 import bisect
 import json
-import sys
+import re
 import zlib
-from array import array
+from collections.abc import Callable, Iterable, Iterator
 from dataclasses import dataclass, field
-from itertools import chain
+from itertools import chain, compress, pairwise
 
 import numpy as np
 import pyarrow as pa
+import pyarrow.compute as pc
 from pyspark.sql import DataFrame
 from pyspark.sql import functions as F
 
-from loamgrid.llm.common import materialise, running_before, slices, worker_wide
+from loamgrid.llm.common import materialise, running_before, worker_wide
 
 TOKENIZER = "word_bpe_49k.json"
-#: Words whose ids a worker keeps in each of two generations; parts of more bytes are left to the tokenizers library.
-CACHE_WORDS, PART_BYTES = 400_000, 64
-#: Rows that are tokenised at a time.
-TOKEN_ROWS = 1024
+#: Words, and ids of words, that a worker keeps in each of two generations.
+CACHE_WORDS, CACHE_IDS = 400_000, 4_000_000
+#: Bytes of texts that are tokenised, words whose ids are laid out, and parts of words that the library gets, at a time.
+TOKEN_BYTES, TAKE_WORDS, CALL_PARTS = 4 << 20, 1 << 18, 256
 
 
 class TextIds:
@@ -48,109 +49,136 @@ class TextIds:
         return [self.encode(text) for text in texts]
 
 
+class Kept:
+    """Ids of words: those of a word with number k are flat[bounds[k]:bounds[k + 1]]."""
+
+    def __init__(self) -> None:
+        self.numbers: dict[str, int] = {}
+        self.flat, self.bounds = np.empty(0, "<u4"), np.zeros(1, np.int64)
+
+    def add(self, words: list[str], flat: np.ndarray, counts: np.ndarray) -> None:
+        first = len(self.bounds) - 1
+        self.numbers.update(zip(words, range(first, first + len(words))))
+        self.flat = np.concatenate([self.flat, flat])
+        self.bounds = np.concatenate([self.bounds, self.bounds[-1] + np.cumsum(counts, dtype=np.int64)])
+
+    def take(self, numbers: np.ndarray) -> tuple[np.ndarray, np.ndarray]:
+        """The ids of words one after another, and how many each has."""
+        starts = self.bounds[numbers]
+        counts = self.bounds[numbers + 1] - starts
+        ends = np.cumsum(counts)
+        at = np.repeat(starts - ends + counts, counts)
+        at += np.arange(len(at))
+        return self.flat[at], counts
+
+
 class WordIds(TextIds):
     """The same for byte-pair vocabularies over lower-case words with word ends, many words at a time.
 
-    ASCII words that a batch brings anew are merged together in arrays: all words of one length have their
-    lowest-ranked, leftmost pair merged in each round, which is what the library does word by word. Other words go to
-    the library, since its Unicode tables are not Python's, as do very long ones, and as a whole texts that may have
-    special tokens, letters whose lower case depends on their neighbours, or characters that only Python takes for
-    white space.
+    Texts are split at ASCII blanks and their words numbered as Arrow columns, so that Python sees a word once in a
+    batch; a text's ids are then laid out from its words' numbers. New words of ASCII and Latin-1 are lower-cased and
+    cut into parts here, and the library's model merges parts that are new, many in a call: each part ends in the one
+    id that has the word end. Other words go to the library as they are, since its Unicode tables are not Python's, as
+    do, as a whole, texts that may have special tokens, letters whose lower case depends on their neighbours, or
+    characters that only Python takes for white space.
     """
 
     NORMALIZERS = ["NFC", "Replace", "Lowercase"]
     ODD = ("<|", "\u03a3", "\x1c", "\x1d", "\x1e", "\x1f")
+    PLAIN = re.compile("[^\x85\xa0\u0100-\U0010ffff]+")
 
     @classmethod
     def fits(cls, spec: dict) -> bool:
         steps = [x.get("type") for x in (spec.get("normalizer") or {}).get("normalizers", [])]
         split = [x.get("type") for x in (spec.get("pre_tokenizer") or {}).get("pretokenizers", [])]
-        if sys.byteorder != "little" or array("I").itemsize != 4:
-            return False
         special = {x["content"] for x in spec.get("added_tokens", [])} <= {"<|startoftext|>", "<|endoftext|>"}
         ends = spec["model"].get("end_of_word_suffix") == "</w>" and not spec["model"].get("ignore_merges")
-        return steps == cls.NORMALIZERS and split == ["Split", "ByteLevel"] and special and ends
+        if not (steps == cls.NORMALIZERS and split == ["Split", "ByteLevel"] and special and ends):
+            return False
+        printed = [*range(33, 127), *range(161, 173), *range(174, 256)]
+        signs = [chr(b) for b in printed] + [chr(256 + k) for k in range(256 - len(printed))]
+        return all(c in spec["model"]["vocab"] and f"{c}</w>" in spec["model"]["vocab"] for c in signs)
 
     def __init__(self, spec: dict) -> None:
         import regex
+        from tokenizers import Tokenizer
 
         super().__init__(spec)
-        vocab, merges = self.spec["model"]["vocab"], self.spec["model"]["merges"]
-        self.parts = regex.compile(self.spec["pre_tokenizer"]["pretokenizers"][0]["pattern"]["Regex"]).findall
-        printed = [*range(33, 127), *range(161, 173), *range(174, 256)]
-        sign = {b: chr(b) for b in printed} | {b: chr(256 + k) for k, b in enumerate(sorted(set(range(256)) - set(printed)))}
-        self.inner = np.array([vocab[sign[b]] for b in range(256)], np.int64)
-        self.last = np.array([vocab[sign[b] + "</w>"] for b in range(256)], np.int64)
-        pairs = [m.split(" ") if isinstance(m, str) else m for m in merges]
-        keys = np.array([vocab[a] << 32 | vocab[b] for a, b in pairs], np.int64)
-        order = np.argsort(keys, kind="stable")
-        self.keys, self.ranks = keys[order], order
-        self.merged = np.array([vocab[a + b] for a, b in pairs], np.int64)
-        self.none = len(pairs)
-        self.cache: dict[str, bytes] = {}
-        self.older: dict[str, bytes] = {}
-
-    def rank(self, left: np.ndarray, right: np.ndarray) -> np.ndarray:
-        key = left << 32 | right
-        at = np.minimum(np.searchsorted(self.keys, key), len(self.keys) - 1)
-        return np.where(self.keys[at] == key, self.ranks[at], self.none)
-
-    def merge(self, parts: list[str]) -> dict[str, bytes]:
-        """The ids of normalised parts of words."""
-        out: dict[str, bytes] = {}
-        by_length: dict[int, list[tuple[str, bytes]]] = {}
-        for word in parts:
-            raw = word.encode("utf-8")
-            if len(raw) <= PART_BYTES:
-                by_length.setdefault(len(raw), []).append((word, raw))
-            else:
-                out[word] = self.encode(word)
-        for n, own in by_length.items():
-            raw = np.frombuffer(b"".join(b for _, b in own), np.uint8).reshape(-1, n)
-            ids = self.inner[raw]
-            ids[:, -1] = self.last[raw[:, -1]]
-            names = np.arange(len(own))
-            ranks = self.rank(ids[:, :-1], ids[:, 1:])
-            while len(names):
-                low = ranks.min(axis=1) if ranks.shape[1] else np.full(len(names), self.none)
-                done = low == self.none
-                if done.any():
-                    ready, width = ids[done].astype("<u4").tobytes(), 4 * ids.shape[1]
-                    for k, name in enumerate(names[done].tolist()):
-                        out[own[name][0]] = ready[k * width : (k + 1) * width]
-                    ids, ranks, names, low = ids[~done], ranks[~done], names[~done], low[~done]
-                if not len(names):
-                    break
-                rows, at = np.arange(len(names)), ranks.argmin(axis=1)
-                keep = np.ones(ids.shape, bool)
-                keep[rows, at + 1] = False
-                ids[rows, at] = self.merged[low]
-                ids = ids[keep].reshape(len(rows), -1)
-                ranks = ranks[keep[:, 1:]].reshape(len(rows), -1)
-                for side in (at - 1, at):
-                    some = (side >= 0) & (side < ranks.shape[1])
-                    r, c = rows[some], side[some]
-                    ranks[r, c] = self.rank(ids[r, c], ids[r, c + 1])
-        return out
+        self.parts = regex.compile(spec["pre_tokenizer"]["pretokenizers"][0]["pattern"]["Regex"]).findall
+        signs = {"type": "ByteLevel", "add_prefix_space": False, "trim_offsets": True, "use_regex": False}
+        split = {"type": "Sequence", "pretokenizers": [{"type": "WhitespaceSplit"}, signs]}
+        bare = {"normalizer": None, "pre_tokenizer": split, "post_processor": None, "added_tokens": []}
+        self.merger = Tokenizer.from_str(json.dumps(spec | bare))
+        vocab = spec["model"]["vocab"]
+        self.is_last = np.zeros(max(vocab.values()) + 1, bool)
+        self.is_last[[k for token, k in vocab.items() if token.endswith("</w>")]] = True
+        self.kept, self.older = Kept(), Kept()
+
+    @staticmethod
+    def ids(tokenizer, calls: Iterable[list[str]]) -> list[np.ndarray]:
+        """The ids of each text; the library's encodings, which are large, don't outlive a call."""
+        found = (tokenizer.encode_batch_fast(texts, add_special_tokens=False) for texts in calls)
+        return [np.array(x.ids, "<u4") for x in chain.from_iterable(found)]
+
+    def merge(self, parts: list[str]) -> tuple[np.ndarray, np.ndarray]:
+        """The ids of normalised parts of words one after another, and how many each has."""
+        calls = ([" ".join(parts[at : at + CALL_PARTS])] for at in range(0, len(parts), CALL_PARTS))
+        flat = np.concatenate(self.ids(self.merger, calls))
+        counts = np.diff(np.flatnonzero(self.is_last[flat]), prepend=-1)
+        if len(counts) != len(parts):
+            raise ValueError(f"{len(parts)} parts of words, {len(counts)} word ends")
+        return flat, counts
+
+    def number(self, words: list[str], learn: Callable[[list[str]], None]) -> np.ndarray:
+        """The numbers of distinct words; those in the older generation are taken over, ``learn`` gets the rest."""
+        found = list(map(self.kept.numbers.get, words))
+        new = [w for w, k in zip(words, found) if k is None]
+        past = list(map(self.older.numbers.get, new))
+        old = [w for w, k in zip(new, past) if k is not None]
+        if old:
+            self.kept.add(old, *self.older.take(np.array([k for k in past if k is not None], np.int64)))
+            new = [w for w, k in zip(new, past) if k is None]
+        if new:
+            learn(new)
+        get = self.kept.numbers.__getitem__
+        return np.array([get(w) if k is None else k for w, k in zip(words, found)], np.int64)
+
+    def learn_parts(self, parts: list[str]) -> None:
+        self.kept.add(parts, *self.merge(parts))
 
     def learn(self, words: list[str]) -> None:
-        """Put the ids of new words into the cache."""
-        plain, other = [w for w in words if w.isascii()], [w for w in words if not w.isascii()]
-        cut = [self.parts(w.lower()) for w in plain]
-        ids = self.merge(list(set(chain.from_iterable(cut))))
-        self.cache.update((w, b"".join([ids[p] for p in own])) for w, own in zip(plain, cut))
-        found = self.tokenizer.encode_batch_fast(other, add_special_tokens=False)
-        self.cache.update((w, array("I", x.ids).tobytes()) for w, x in zip(other, found))
+        fits = [w != "" and (w.isascii() or self.PLAIN.fullmatch(w) is not None) for w in words]
+        plain, other = list(compress(words, fits)), [w for w, fit in zip(words, fits) if not fit]
+        if other:
+            calls = (other[at : at + CALL_PARTS] for at in range(0, len(other), CALL_PARTS))
+            ids = self.ids(self.tokenizer, calls)
+            self.kept.add(other, np.concatenate(ids), np.array(list(map(len, ids))))
+        coded = pa.array(self.parts(" ".join(plain).lower()), pa.string()).dictionary_encode()
+        parts = coded.dictionary.to_numpy(zero_copy_only=False).tolist()
+        used, sizes = coded.indices.to_numpy(), np.array(list(map(len, parts)), np.int64)
+        numbers = self.number(parts, self.learn_parts)[used]
+        # A word's parts have all its characters, so that parts and words end together.
+        ends = np.searchsorted(np.cumsum(sizes[used]), np.cumsum(list(map(len, plain)))) + 1
+        n_parts = np.diff(ends, prepend=0)
+        single = n_parts == 1
+        self.kept.numbers.update(zip(compress(plain, single.tolist()), numbers[ends[single] - 1].tolist()))
+        flat, counts = self.kept.take(numbers[np.repeat(~single, n_parts)])
+        before = np.concatenate([[0], np.cumsum(counts)])[np.cumsum(n_parts[~single])]
+        self.kept.add(list(compress(plain, (~single).tolist())), flat, np.diff(before, prepend=0))
 
     def of(self, texts: list[str]) -> list[bytes]:
-        if len(self.cache) > CACHE_WORDS:
-            self.cache, self.older = {}, self.cache
-        cut = [None if any(mark in t for mark in self.ODD) else t.split() for t in texts]
-        new = [w for w in set(chain.from_iterable(filter(None, cut))) if w not in self.cache]
-        self.cache.update((w, self.older[w]) for w in new if w in self.older)
-        self.learn([w for w in new if w not in self.cache])
-        ids = self.cache.__getitem__
-        return [self.encode(t) if own is None else b"".join(map(ids, own)) for t, own in zip(texts, cut)]
+        if len(self.kept.numbers) > CACHE_WORDS or len(self.kept.flat) > CACHE_IDS:
+            self.kept, self.older = Kept(), self.kept
+        odd = [any(mark in t for mark in self.ODD) for t in texts]
+        cut = pc.ascii_split_whitespace(pa.array(["" if o else t for t, o in zip(texts, odd)], pa.large_string()))
+        coded = cut.values.dictionary_encode()
+        words = coded.dictionary.to_numpy(zero_copy_only=False).tolist()
+        numbers = self.number(words, self.learn)
+        used, bounds = coded.indices.to_numpy(), cut.offsets.to_numpy()
+        taken = [self.kept.take(numbers[used[at : at + TAKE_WORDS]]) for at in range(0, len(used), TAKE_WORDS)]
+        flat = np.concatenate([np.empty(0, "<u4"), *(ids for ids, _ in taken)])
+        ends = np.concatenate([[0], *(n for _, n in taken)]).cumsum()[bounds].tolist()
+        return [self.encode(t) if o else flat[a:b].tobytes() for t, o, a, b in zip(texts, odd, ends, ends[1:])]
 
 
 def text_ids(name: str) -> TextIds:
@@ -164,6 +192,15 @@ def text_ids(name: str) -> TextIds:
     return WordIds(spec) if WordIds.fits(spec) else TextIds(spec)
 
 
+def _byte_slices(batch: pa.RecordBatch) -> Iterator[pa.RecordBatch]:
+    """The same rows in batches of about TOKEN_BYTES of texts, or of one longer text."""
+    sizes = pc.fill_null(pc.binary_length(batch.column(1)), 0).to_numpy(zero_copy_only=False)
+    cuts = np.flatnonzero(np.diff(np.cumsum(sizes, dtype=np.int64) // TOKEN_BYTES)) + 1
+    for a, b in pairwise([0, *cuts.tolist(), batch.num_rows]):
+        if a < b:
+            yield batch.slice(a, b - a)
+
+
 def token_pieces(docs: DataFrame, tokenizer: str, max_len: int, with_ids: bool = False) -> DataFrame:
     """(doc_id, piece, start, length, ids_crc32[, ids]): a text's ids and a closing 0, cut into pieces of max_len."""
     schema = "doc_id bigint, piece int, start bigint, length bigint, ids_crc32 bigint"
@@ -173,7 +210,7 @@ def token_pieces(docs: DataFrame, tokenizer: str, max_len: int, with_ids: bool =
 
     def run(batches):
         words = worker_wide(f"text_ids {tokenizer}", lambda: text_ids(tokenizer))
-        for batch in slices(batches, TOKEN_ROWS):
+        for batch in chain.from_iterable(map(_byte_slices, batches)):
             rows, texts = [], [text or "" for text in batch.column(1).to_pylist()]
             for key, ids in zip(batch.column(0).to_pylist(), words.of(texts)):
                 ids += b"\0\0\0\0"

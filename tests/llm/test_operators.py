@@ -6,6 +6,7 @@ import zlib
 from collections import Counter
 
 import numpy as np
+import pyarrow as pa
 import pytest
 from pyspark.sql import functions as F
 
@@ -100,6 +101,35 @@ def test_ids_of_all_code_points():
         assert [np.frombuffer(x, "<u4").tolist() for x in words.of(texts)] == [w.ids for w in want]
 
 
+def test_parts_of_words_are_merged_once():
+    words, merged = packing.text_ids(packing.TOKENIZER), []
+    merge = words.merge
+    words.merge = lambda parts: merged.extend(parts) or merge(parts)
+    for texts in (["Abc, d\u00e9j\u00e0", ""], ["abc. D\u00e9j\u00e0!", " ABC\nd\u00e9j\u00e0 abc, it's"], ["ABC! abc"]):
+        want = words.tokenizer.encode_batch(texts, add_special_tokens=False)
+        assert [np.frombuffer(x, "<u4").tolist() for x in words.of(texts)] == [w.ids for w in want]
+    assert sorted(merged) == sorted(["abc", ",", "d\u00e9j\u00e0", ".", "!", "it", "'s"])
+
+
+def test_ids_over_generations_and_slices(monkeypatch):
+    """Words that are dropped, taken over and learnt again; texts split anywhere; blanks that are not ASCII."""
+    rng = random.Random(5)
+    own = ["The", "the,", "l'\u00e9t\u00e9", "DON'T", "\u00c9T\u00c9", "x" * 300, "''s", "4\u00b2", "a\u00a0b", "c\x85d", "e\u3000f", "\u0130i", "\u00b5m", "\x00\x7f"]
+    own += ["\ufb01n", "e\u0301", "\u4e2d\u6587", "\U0001f600!", "\u00df\u00aa", "\u00ad", "\u2028", "<|endoftext|>", "\u03a3\u03a3", "a\x1cb"]
+    words = packing.text_ids(packing.TOKENIZER)
+    monkeypatch.setattr(packing, "CACHE_WORDS", 6)
+    monkeypatch.setattr(packing, "TAKE_WORDS", 3)
+    monkeypatch.setattr(packing, "CALL_PARTS", 2)
+    monkeypatch.setattr(packing, "TOKEN_BYTES", 50, raising=False)
+    texts = ["".join(rng.choice(own) + rng.choice([" ", "\n", "\t ", "\r\n"]) for _ in range(rng.randint(0, 9))) for _ in range(300)]
+    want = [x.ids for x in words.tokenizer.encode_batch(texts, add_special_tokens=False)]
+    got = [x for at in range(0, 300, 7) for x in words.of(texts[at : at + 7])]
+    assert [np.frombuffer(x, "<u4").tolist() for x in got] == want
+    batch = pa.RecordBatch.from_arrays([pa.array(range(301)), pa.array([*texts, None])], names=["doc_id", "text"])
+    assert pa.Table.from_batches(packing._byte_slices(batch)) == pa.Table.from_batches([batch])
+    assert list(packing._byte_slices(batch.slice(0, 0))) == []
+
+
 def plain_two_fit(lengths, most):
     """Bin after bin: fill with the longest that fit, then swap the smallest for the two that leave the least gap."""
     left, bins = sorted(lengths, reverse=True), []
