@@ -2,6 +2,7 @@
 
 from __future__ import annotations
 
+import ctypes
 import re
 import sys
 import types
@@ -13,7 +14,8 @@ from pyspark.sql import DataFrame, SparkSession
 from loamgrid.operators.numbering import discard, materialise, running_before, scratch_root
 
 __all__ = [
-    "discard", "materialise", "running_before", "scratch_root", "slices", "stable_rows", "table", "word_parts", "worker_wide",
+    "discard", "give_back", "materialise", "running_before", "scratch_root", "slices", "stable_rows", "table", "word_parts",
+    "worker_wide",
 ]
 
 #: Rows that a Python function holds as objects at a time.
@@ -28,7 +30,14 @@ def table(spark: SparkSession, sf_dir: str, name: str) -> DataFrame:
 
 
 def slices(batches: Iterator[pa.RecordBatch], rows: int = SLICE_ROWS) -> Iterator[pa.RecordBatch]:
-    """The same rows in small batches, so that long texts don't meet in memory."""
+    """The same rows in small batches, so that long texts don't meet in memory.
+
+    What another operator has kept in this worker (``worker_wide``) goes first: a worker outlives its stage.
+    """
+    held = _worker()
+    if held:
+        held.clear()
+        give_back()
     for batch in batches:
         for at in range(0, batch.num_rows, rows):
             yield batch.slice(at, rows)
@@ -63,9 +72,23 @@ def stable_rows(df: DataFrame, name: str) -> DataFrame:
     return materialise(df, name)
 
 
+def _worker() -> dict:
+    """What is kept in this Python worker, by name."""
+    return sys.modules.setdefault("_loamgrid_worker", types.ModuleType("_loamgrid_worker")).__dict__.setdefault("kept", {})
+
+
 def worker_wide(name: str, make):
-    """What ``make`` returns, made once in a Python worker and kept for the tasks that it runs later."""
-    held = sys.modules.setdefault("_loamgrid_worker", types.ModuleType("_loamgrid_worker")).__dict__
+    """What ``make`` returns, made once in a Python worker and kept for the tasks that it runs later, until one of them
+    reads its rows by ``slices``."""
+    held = _worker()
     if name not in held:
         held[name] = make()
     return held[name]
+
+
+def give_back() -> None:
+    """Return freed memory to the system; else a worker stays as large as its largest moment was."""
+    pa.default_memory_pool().release_unused()
+    trim = getattr(ctypes.CDLL(None), "malloc_trim", None)  # glibc has it
+    if trim is not None:
+        trim(0)

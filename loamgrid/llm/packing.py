@@ -24,7 +24,7 @@ import pyarrow.compute as pc
 from pyspark.sql import DataFrame
 from pyspark.sql import functions as F
 
-from loamgrid.llm.common import materialise, running_before, worker_wide
+from loamgrid.llm.common import give_back, materialise, running_before, worker_wide
 
 TOKENIZER = "word_bpe_49k.json"
 #: Words, and ids of words, that a worker keeps in each of two generations.
@@ -210,7 +210,8 @@ def token_pieces(docs: DataFrame, tokenizer: str, max_len: int, with_ids: bool =
 
     def run(batches):
         words = worker_wide(f"text_ids {tokenizer}", lambda: text_ids(tokenizer))
-        for batch in chain.from_iterable(map(_byte_slices, batches)):
+
+        def cut(batch):
             rows, texts = [], [text or "" for text in batch.column(1).to_pylist()]
             for key, ids in zip(batch.column(0).to_pylist(), words.of(texts)):
                 ids += b"\0\0\0\0"
@@ -219,7 +220,10 @@ def token_pieces(docs: DataFrame, tokenizer: str, max_len: int, with_ids: bool =
                     row = [key, k, at // 4, len(part) // 4, zlib.crc32(part)]
                     rows.append([*row, np.frombuffer(part, "<u4").tolist()] if with_ids else row)
             columns = [pa.array(c, t) for c, t in zip(zip(*rows), kinds)]
-            yield pa.RecordBatch.from_arrays(columns, names=[x.split()[0] for x in schema.split(", ")])
+            return pa.RecordBatch.from_arrays(columns, names=[x.split()[0] for x in schema.split(", ")])
+
+        yield from map(cut, chain.from_iterable(map(_byte_slices, batches)))
+        give_back()
 
     return docs.select(F.col("doc_id").cast("bigint"), F.col("text").cast("string")).mapInArrow(run, schema)
 

@@ -2,6 +2,8 @@
 
 import hashlib
 import random
+import subprocess
+import sys
 import zlib
 from collections import Counter
 
@@ -111,6 +113,25 @@ def test_parts_of_words_are_merged_once():
     assert sorted(merged) == sorted(["abc", ",", "d\u00e9j\u00e0", ".", "!", "it", "'s"])
 
 
+def test_a_worker_drops_what_another_operator_kept():
+    """A worker outlives its stage: a tokenizer and its words, some 200 MB, went on beside the next operators."""
+    batch = pa.RecordBatch.from_arrays([pa.array(range(300))], names=["n"])
+    first = common.worker_wide("test", lambda: [1])
+    assert common.worker_wide("test", lambda: [2]) is first
+    assert sum(part.num_rows for part in common.slices(iter([batch]))) == 300
+    assert common.worker_wide("test", lambda: [2]) == [2]
+    common._worker().clear()
+
+
+def test_freed_memory_goes_back():
+    """Tokenising tasks leave a worker no larger than what it keeps."""
+    size = "import re; now = lambda: int(re.search(r'Rss:\\s+(\\d+)', open('/proc/self/smaps_rollup').read())[1]) // 1024"
+    work = "made = [bytes(2000) for _ in range(100_000)]; pins = made[::5000]; full = now(); del made"
+    code = f"{size}\nfrom loamgrid.llm.common import give_back\n{work}\ngive_back(); print(full, now())"
+    full, after = map(int, subprocess.run([sys.executable, "-c", code], capture_output=True, check=True).stdout.split())
+    assert full - after > 150
+
+
 def test_ids_over_generations_and_slices(monkeypatch):
     """Words that are dropped, taken over and learnt again; texts split anywhere; blanks that are not ASCII."""
     rng = random.Random(5)
